@@ -1,10 +1,12 @@
 """Invoice status lookup (JOIN6, JOIN7, SET2/AGG3).
 
-Header and detail tables are both large. When the transactions to enrich are
-known (``ids``), the detail rows are reduced to those transaction ids first
-and the headers to the invoice numbers that remain, so neither full table is
-shuffled. The result equals the full lookup restricted to those ids, which is
-all a left join by transaction id can use.
+Header and detail tables are both large. When only some transactions need a
+status, the detail rows are first reduced to those transaction ids
+(``reduced_details``, a map-side filter when the id set is measured small);
+the caller materialises and measures that result, and only a measured small
+one filters the headers map-side by invoice number. Beyond the bounds every
+step is a shuffle join. The result equals the full lookup restricted to the
+wanted ids, which is all a left join by transaction id can use.
 """
 
 from __future__ import annotations
@@ -16,31 +18,61 @@ from gatewatch.operators.broadcast import maybe_broadcast
 from gatewatch.sources.tables import TollTables
 
 INVOICE_COLUMNS = ("status", "create_channel", "transaction_id")
+SIDES = ("member", "nonmember")
 
 
-def _invoice_pair(
-    header: DataFrame, detail: DataFrame, ids: DataFrame | None, ids_small: bool
-) -> DataFrame:
-    d = detail.select(F.col("invoice_no").alias("_inv"), "create_channel", "transaction_id")
+def _pairs(tables: TollTables):
+    return (
+        ("member", tables.member_invoice, tables.member_invoice_detail),
+        ("nonmember", tables.nonmember_invoice, tables.nonmember_invoice_detail),
+    )
+
+
+def _detail(detail: DataFrame) -> DataFrame:
+    return detail.select(F.col("invoice_no").alias("_inv"), "create_channel", "transaction_id")
+
+
+def _join(header: DataFrame, detail: DataFrame, detail_small: bool) -> DataFrame:
     h = header.select(F.col("invoice_no").alias("_hinv"), "status")
-    if ids is not None:
-        wanted = maybe_broadcast(ids.select(F.col("transaction_id").alias("_tid")), ids_small)
-        d = d.join(wanted, d["transaction_id"] == wanted["_tid"], "left_semi")
-        if ids_small:
-            # The reduced detail is at most a few rows per wanted id; it can
-            # filter the header scan map-side as well.
-            h = h.join(F.broadcast(d.select(F.col("_inv").alias("_hk"))), F.col("_hinv") == F.col("_hk"), "left_semi")
+    d = maybe_broadcast(detail, detail_small)
     return h.join(d, h["_hinv"] == d["_inv"], "inner").select(*INVOICE_COLUMNS)
 
 
-def invoice_union_distinct(
-    tables: TollTables, ids: DataFrame | None = None, ids_small: bool = False
-) -> DataFrame:
+def invoice_union_distinct(tables: TollTables) -> DataFrame:
     """Distinct (status, create_channel, transaction_id) over the member and
-    non-member invoice joins (JOIN6 + SET2 + AGG3). Rows from both sides merge."""
-    member = _invoice_pair(tables.member_invoice, tables.member_invoice_detail, ids, ids_small)
-    nonmember = _invoice_pair(tables.nonmember_invoice, tables.nonmember_invoice_detail, ids, ids_small)
-    return member.unionByName(nonmember).distinct()
+    non-member invoice joins, whole tables (JOIN6 + SET2 + AGG3). Rows from
+    both sides merge."""
+    out = None
+    for _, header, detail in _pairs(tables):
+        pair = _join(header, _detail(detail), False)
+        out = pair if out is None else out.unionByName(pair)
+    return out.distinct()
+
+
+def reduced_details(tables: TollTables, ids: DataFrame, ids_small: bool) -> DataFrame:
+    """Detail rows of both invoice kinds whose transaction id is in ``ids``,
+    tagged with their side (``_side``)."""
+    wanted = maybe_broadcast(ids.select(F.col("transaction_id").alias("_tid")), ids_small)
+    out = None
+    for side, _, detail in _pairs(tables):
+        d = _detail(detail)
+        d = d.join(wanted, d["transaction_id"] == wanted["_tid"], "left_semi").withColumn("_side", F.lit(side))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
+def invoices_for_details(tables: TollTables, details: DataFrame, details_small: bool) -> DataFrame:
+    """The distinct invoice rows of ``reduced_details``; a measured small
+    detail set also filters each header table map-side by invoice number."""
+    out = None
+    for side, header, _ in _pairs(tables):
+        d = details.where(F.col("_side") == side).drop("_side")
+        if details_small:
+            keys = F.broadcast(d.select(F.col("_inv").alias("_hk")))
+            header = header.join(keys, header["invoice_no"] == keys["_hk"], "left_semi")
+        pair = _join(header, d, details_small)
+        out = pair if out is None else out.unionByName(pair)
+    return out.distinct()
 
 
 def invoice_status_left_join(df: DataFrame, invoices: DataFrame) -> DataFrame:

@@ -44,24 +44,20 @@ def singleton_groups(
     df: DataFrame,
     keys: Sequence[str] = SINGLETON_KEYS,
     by: Sequence[str] = ("mem_type",),
-    id_col: str = "transaction_id",
 ) -> DataFrame:
     """Rows that are alone in their ``by + keys`` group (AGG1 + FLT4 + JOIN1).
 
     Rows with a NULL key are dropped (the source joins the groups back on
-    equality). The count runs as a hash aggregate with map-side partial
-    aggregation, so a hot group costs one row per map task instead of
-    landing whole in one task; only keys, a count and the smallest id are
-    shuffled. The survivors are matched back on keys *and* id: the join is
-    partitioned on all of them, and the id spreads even a hot group's rows.
+    equality). One aggregation replaces the source's count-then-self-join:
+    it counts each group and carries ``first()`` of every other column; for a
+    group of one row that *is* the row. The aggregation is partial on the map
+    side, so a hot group costs one row per map task rather than landing whole
+    in one task, and the input is scanned once.
     """
     group = [*by, *keys]
+    payload = [c for c in df.columns if c not in group]
     keyed = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
-    singles = (
-        keyed.groupBy(*group)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(id_col).alias("_id"))
-        .where(F.col("_n") == 1)
-        .select(*[F.col(k).alias(f"_s_{k}") for k in group], "_id")
+    counted = keyed.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in payload]
     )
-    cond = [F.col(k) == F.col(f"_s_{k}") for k in group] + [F.col(id_col).eqNullSafe(F.col("_id"))]
-    return keyed.join(singles, on=cond, how="left_semi")
+    return counted.where(F.col("_n") == 1).select(*df.columns)

@@ -68,10 +68,11 @@ def list_type_ids(types: DataFrame, list_name: str) -> DataFrame:
 
 
 def watchlist_plates(watchlist: DataFrame) -> DataFrame:
-    """Distinct (plate1, plate2) of a watchlist, named like the transaction columns."""
+    """(plate1, plate2) of a watchlist, named like the transaction columns.
+    Not deduplicated: it only feeds semi-joins, which ignore duplicates."""
     return watchlist.select(
         F.col("plate1").alias("vehicle_license_1"), F.col("plate2").alias("vehicle_license_2")
-    ).distinct()
+    )
 
 
 def watchlist_like_join(df: DataFrame, watchlist: DataFrame, watchlist_small: bool = False) -> DataFrame:

@@ -16,9 +16,13 @@ Physical shape chosen here (SURVEY section 4, rewrites R1-R6):
 2. Singleton count as a partially aggregated group-by (skew-safe), joined back
    on keys + id; then paid/active. This candidate set is checkpointed to the
    shared checkpoint folder (cuts lineage, survives executor loss) and counted.
-3. A measured small candidate set filters the camera, back-camera and invoice
-   tables map-side (broadcast left-semi), so those large tables are scanned
-   but not shuffled. Beyond the bound every join falls back to shuffle joins.
+3. A measured small candidate set filters the camera, back-camera and
+   invoice-detail tables map-side (broadcast left-semi), so those large
+   tables are scanned but not shuffled. The reduced invoice details are
+   checkpointed and measured in turn before they filter the invoice headers.
+   The reduced tables then meet the candidates in joins the planner sizes
+   (AQE turns them into broadcasts at runtime when small). Beyond any bound
+   every join falls back to shuffle joins.
 4. The list-filtered watchlist is broadcast only when measured small. The
    province and list-type tables are fixed dimensions: the planner broadcasts
    them from their file-size statistics (``autoBroadcastJoinThreshold``);
@@ -44,7 +48,11 @@ from gatewatch.operators.enrich import (
     source_union_distinct,
     with_vehicle_class,
 )
-from gatewatch.operators.invoices import invoice_status_left_join, invoice_union_distinct
+from gatewatch.operators.invoices import (
+    invoice_status_left_join,
+    invoices_for_details,
+    reduced_details,
+)
 from gatewatch.operators.transactions import (
     filter_window_inclusive,
     paid_active,
@@ -111,6 +119,7 @@ def enrich_candidates(
     cand_small: bool,
     watchlist: Watchlist,
     with_invoices: bool = True,
+    limits: HitLimits = HitLimits(),
 ) -> DataFrame:
     """Candidates -> 22-column hits (steps 3-5 of the module docstring).
 
@@ -124,8 +133,9 @@ def enrich_candidates(
     x = back_camera_left_join(x, tables.back_camera, ids=cand, ids_small=cand_small)
     x = source_union_distinct(with_vehicle_class(x))
     if with_invoices:
-        y = invoice_union_distinct(tables, ids=cand, ids_small=cand_small)
-        x = invoice_status_left_join(x, y)
+        details = materialize(reduced_details(tables, cand, cand_small), limits.checkpoint_candidates)
+        _, details_small = bounded_broadcast(details, limits.candidate_rows, "invoice details")
+        x = invoice_status_left_join(x, invoices_for_details(tables, details, details_small))
     else:
         x = x.withColumn("status", F.lit(None).cast("string")).withColumn(
             "create_channel", F.lit(None).cast("string")
@@ -154,7 +164,7 @@ def watchlist_hits(
     watchlist = named_watchlist(tables, list_name, limits)
     cand = materialize(hit_candidates(tables, window, watchlist), limits.checkpoint_candidates)
     _, cand_small = bounded_broadcast(cand, limits.candidate_rows, "hit candidates")
-    return enrich_candidates(tables, cand, cand_small, watchlist, with_invoices)
+    return enrich_candidates(tables, cand, cand_small, watchlist, with_invoices, limits)
 
 
 def hits_by_window(

@@ -10,6 +10,12 @@ The gate views' ``transaction_date`` is the event time truncated to the hour,
 a derived column that Parquet cannot filter on. Their scan therefore pushes a
 covering predicate on the raw ``ts`` column as well: ``trunc_hour(ts)`` lies in
 ``[lo, hi]`` only if ``ts`` lies in ``[trunc_hour(lo), trunc_hour(hi) + 1h)``.
+The projection carries ``ts`` through as a hidden column so that predicate,
+placed above the projection, still reaches the Parquet scan; the column is
+dropped before the rows leave the scan.
+
+The views are built once per (session, folder) and reused: DataFrames are
+immutable plans, and building them costs many driver round trips.
 """
 
 from __future__ import annotations
@@ -52,8 +58,12 @@ def trunc_hour(ts: Column) -> Column:
     )
 
 
-def _gate_projection(ev: DataFrame) -> DataFrame:
+RAW_TS = "_event_ts"
+
+
+def _gate_projection(ev: DataFrame, keep_ts: bool = False) -> DataFrame:
     e, u = F.col("event_id"), F.col("user_id")
+    extra = [F.col("ts").alias(RAW_TS)] if keep_ts else []
     return ev.select(
         e.alias("transaction_id"),
         trunc_hour(F.col("ts")).alias("transaction_date"),
@@ -64,6 +74,7 @@ def _gate_projection(ev: DataFrame) -> DataFrame:
         F.concat(F.lit("VWHEL000"), _s(e % 5)).alias("vehicle_wheel_code"),
         F.floor(F.col("value") / 5).cast("bigint").alias("fee_amount"),
         F.when(e % 17 == 0, 1).otherwise(0).cast("int").alias("delete_flag"),
+        *extra,
     )
 
 
@@ -144,24 +155,33 @@ def fixture_frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return frames
 
 
+_CACHE: dict[tuple[str, str], TollTables] = {}
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> TollTables:
     """The fixture views bundled as ``TollTables`` with ts-pruning gate scans."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CACHE:
+        _CACHE[key] = _build_fixture_tables(spark, sf_dir)
+    return _CACHE[key]
+
+
+def _build_fixture_tables(spark: SparkSession, sf_dir: str) -> TollTables:
     frames = fixture_frames(spark, sf_dir)
     base = tables_from_frames(frames)
     events = frames["_events"]
 
     def gate_scan(kind: str):
         typed = events.where(F.col("event_type").isin(*EVENT_TYPES[kind]))
+        plain = _gate_projection(typed)
+        with_ts = _gate_projection(typed, keep_ts=True)
 
         def scan(window: Window | None) -> DataFrame:
             if window is None:
-                return _gate_projection(typed)
+                return plain
             lo = ts_literal(_hour_floor(window.lo))
             hi = ts_literal(_hour_floor(window.hi) + timedelta(hours=1))
-            pruned = typed.where((F.col("ts") >= lo) & (F.col("ts") < hi))
-            return _gate_projection(pruned).where(
-                F.col("transaction_date").between(window.lo_lit(), window.hi_lit())
-            )
+            return with_ts.where((F.col(RAW_TS) >= lo) & (F.col(RAW_TS) < hi)).drop(RAW_TS)
 
         return scan
 
