@@ -82,3 +82,35 @@ REPORT_RUNS = _struct(("row_count", L), ("report_date", D), ("slot", S))
 EXPECTED_REPORTS = _struct(("report_date", D), ("slot", S), ("object_name", S))
 
 PICTURES = _struct(("key", S), ("name", S), ("width", I), ("height", I), ("scale", DB))
+
+CAMERA = _struct(("transaction_id", L), ("body_path_pic", S), ("plate_path_pic", S))
+INPUTS = {
+    "member_txn": GATE_TXN,
+    "nonmember_txn": GATE_TXN,
+    "illegal_txn": GATE_TXN,
+    "member_camera": CAMERA,
+    "nonmember_camera": CAMERA,
+    "illegal_camera": CAMERA,
+    "province_office": _struct(("code", I), ("description", S)),
+    "back_camera": _struct(("ref_transaction_id", L), ("back_path_pic", S), ("delete_flag", I)),
+    "invoice_rollback": _struct(("plate1", S), ("plate2", S), ("province", I)),
+    "member_invoice": _struct(("invoice_no", L), ("status", S)),
+    "nonmember_invoice": _struct(("invoice_no", L), ("status", S)),
+    "member_invoice_detail": _struct(("invoice_no", L), ("create_channel", S), ("transaction_id", L)),
+    "nonmember_invoice_detail": _struct(("invoice_no", L), ("create_channel", S), ("transaction_id", L)),
+    "watchlist_master": _struct(
+        ("plate1", S),
+        ("plate2", S),
+        ("province", S),
+        ("list_type", I),
+        ("img_body", S),
+        ("img_plate", S),
+        ("img_back", S),
+        ("plate1_origin", S),
+        ("plate2_origin", S),
+        ("province_origin", S),
+        ("model", S),
+        ("color", S),
+    ),
+    "watchlist_type": _struct(("id", I), ("list_name", S)),
+}
