@@ -31,7 +31,8 @@ from gatewatch.operators.transactions import (
 from gatewatch.operators.watchlist import WATCHLIST_COLUMNS, watchlist_like_join, watchlist_type_filter
 from gatewatch.plans.hits import hits_by_window, watchlist_hits
 from gatewatch.plans.pictures import picture_names
-from gatewatch.plans.reports import exclude_published, report_columns, report_width_profile
+from gatewatch.operators.published import exclude_ids
+from gatewatch.plans.reports import report_columns, report_width_profile
 from gatewatch.plans.slots import (
     SLOT_NAMES,
     excluded_reports,
@@ -169,31 +170,33 @@ def _published_windows(slot_name: str, run_date: date) -> dict[str, Window]:
     return {f"{d.isoformat()}/{s}": slot_window(s, d) for d, s in excluded_reports(slot_name, run_date)}
 
 
-def published_and_fresh(t: TollTables, slot_name: str, run_date: date) -> tuple[DataFrame, DataFrame]:
-    """(ids the slot's earlier reports listed, this slot's hits), from one
-    hit computation over the cover of all windows involved. The earlier
-    reports are taken to have run on the same data, so together they listed
-    every hit of their windows."""
+def published_and_fresh(t: TollTables, slot_name: str, run_date: date) -> tuple[DataFrame, DataFrame, bool]:
+    """(ids the slot's earlier reports listed, this slot's hits, whether the
+    ids are measured small), from one candidate computation over the cover of
+    all windows involved. The earlier reports are taken to have run on the
+    same data, so together they listed every hit of their windows. Their ids
+    are candidate ids, so the measured candidate count bounds them."""
     windows = _published_windows(slot_name, run_date)
     windows["_slot"] = slot_window(slot_name, run_date)
-    hits = hits_by_window(t, windows, LIST_NAME, with_invoices=False)
-    slot_hits = hits.pop("_slot")
+    by_window, hits = hits_by_window(t, windows, LIST_NAME, with_invoices=False)
+    slot_hits = by_window.pop("_slot")
     published = None
-    for h in hits.values():
+    for h in by_window.values():
         ids = h.select("transaction_id")
         published = ids if published is None else published.unionByName(ids)
-    return published, slot_hits
+    return published, slot_hits, hits.ids_small
 
 
 def q_published_ids(spark, sf_dir):
-    published, _ = published_and_fresh(_tables(spark, sf_dir), "NIGHT", RUN_DATE)
+    published, _, _ = published_and_fresh(_tables(spark, sf_dir), "NIGHT", RUN_DATE)
     return published.distinct()
 
 
 def _report(slot_name: str) -> Query:
     def q(spark, sf_dir):
-        published, hits = published_and_fresh(_tables(spark, sf_dir), slot_name, RUN_DATE)
-        return report_columns(exclude_published(hits, published), RUN_DATE, slot_name, URL_PREFIX)
+        published, hits, small = published_and_fresh(_tables(spark, sf_dir), slot_name, RUN_DATE)
+        fresh = exclude_ids(hits, published, small)
+        return report_columns(fresh, RUN_DATE, slot_name, URL_PREFIX)
 
     q.__name__ = f"q_report_{slot_name}"
     return q

@@ -40,7 +40,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.operators.broadcast import bounded_broadcast, maybe_broadcast
+from gatewatch.operators.broadcast import bounded_broadcast, maybe_broadcast, row_count_at_most
 from gatewatch.operators.enrich import (
     back_camera_left_join,
     camera_left_join,
@@ -152,6 +152,36 @@ def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@dataclass(frozen=True)
+class Hits:
+    """A hit DataFrame plus a measured bound: the number of candidate
+    transactions it was built from. Every hit id is a candidate id, so at most
+    ``id_bound`` distinct ids occur in ``rows`` (and in any filter of it)."""
+
+    rows: DataFrame
+    id_bound: int
+    limits: HitLimits
+
+    @property
+    def ids_small(self) -> bool:
+        return self.id_bound <= self.limits.candidate_rows
+
+
+def compute_hits(
+    tables: TollTables,
+    window: Window | None,
+    list_name: str,
+    limits: HitLimits = HitLimits(),
+    with_invoices: bool = True,
+) -> Hits:
+    """``watchlist_hits`` with the measured candidate bound kept."""
+    watchlist = named_watchlist(tables, list_name, limits)
+    cand = materialize(hit_candidates(tables, window, watchlist), limits.checkpoint_candidates)
+    n = row_count_at_most(cand, limits.candidate_rows)
+    rows = enrich_candidates(tables, cand, n <= limits.candidate_rows, watchlist, with_invoices, limits)
+    return Hits(rows, n, limits)
+
+
 def watchlist_hits(
     tables: TollTables,
     window: Window | None,
@@ -161,10 +191,7 @@ def watchlist_hits(
 ) -> DataFrame:
     """Watchlist hits of ``list_name`` with transaction time in ``window``
     (inclusive; ``None`` = all time). 22 columns, ``rn`` always 1."""
-    watchlist = named_watchlist(tables, list_name, limits)
-    cand = materialize(hit_candidates(tables, window, watchlist), limits.checkpoint_candidates)
-    _, cand_small = bounded_broadcast(cand, limits.candidate_rows, "hit candidates")
-    return enrich_candidates(tables, cand, cand_small, watchlist, with_invoices, limits)
+    return compute_hits(tables, window, list_name, limits, with_invoices).rows
 
 
 def hits_by_window(
@@ -173,17 +200,16 @@ def hits_by_window(
     list_name: str,
     limits: HitLimits = HitLimits(),
     with_invoices: bool = True,
-) -> dict[str, DataFrame]:
-    """Hits of several windows from one computation over their cover.
+) -> tuple[dict[str, DataFrame], Hits]:
+    """Hits of several windows from one candidate computation over their cover.
 
     Exact, not an approximation: every step is local to one transaction
     time. The singleton groups and the first-hit partitions are keyed by
     it, and all joins are row-wise, so hits(W) = hits(U) restricted to W for
-    any W inside U. The cover's hits are checkpointed once and each window
-    is a filter over them.
+    any W inside U. The candidates of the cover are checkpointed once; each
+    window's filter is pushed down onto them, so every window reads only its
+    own slice.
     """
     cover = reduce(Window.cover, windows.values())
-    hits = materialize(
-        watchlist_hits(tables, cover, list_name, limits, with_invoices), limits.checkpoint_candidates
-    )
-    return {name: filter_window_inclusive(hits, w) for name, w in windows.items()}
+    hits = compute_hits(tables, cover, list_name, limits, with_invoices)
+    return {name: filter_window_inclusive(hits.rows, w) for name, w in windows.items()}, hits

@@ -35,9 +35,16 @@ HEADER_LABELS = {
 }
 
 
-def exclude_published(hits: DataFrame, published: DataFrame, limits: HitLimits = HitLimits()) -> DataFrame:
-    """Hits whose id no earlier report listed (NULL-safe left anti join)."""
-    _, small = bounded_broadcast(published.select("transaction_id"), limits.candidate_rows, "published ids")
+def exclude_published(
+    hits: DataFrame, published: DataFrame, limits: HitLimits = HitLimits(), bound: int | None = None
+) -> DataFrame:
+    """Hits whose id no earlier report listed (NULL-safe left anti join).
+    ``bound`` is a known upper bound on the published rows; without one they
+    are counted (up to the limit) before deciding to broadcast them."""
+    if bound is None:
+        _, small = bounded_broadcast(published.select("transaction_id"), limits.candidate_rows, "published ids")
+    else:
+        small = bound <= limits.candidate_rows
     return exclude_ids(hits, published, small)
 
 
@@ -105,6 +112,7 @@ def build_report(
     count (0 still records a run)."""
     s = slot(slot_name)
     hits = watchlist_hits(tables, slot_window(s.name, run_date), list_name, limits, with_invoices=False)
-    published = store.published_ids(excluded_reports(s.name, run_date))
-    fresh = exclude_published(hits, published, limits)
+    pairs = excluded_reports(s.name, run_date)
+    published = store.published_ids(pairs)
+    fresh = exclude_published(hits, published, limits, bound=store.published_bound(pairs))
     return store.write(report_columns(fresh, run_date, s.name, url_prefix), run_date, s.name)

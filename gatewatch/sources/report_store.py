@@ -56,6 +56,12 @@ class ReportStore:
         report contributes nothing. Partition pruning reads only those folders."""
         return self.reports().where(_pairs_predicate(list(pairs))).select("transaction_id")
 
+    def published_bound(self, pairs: Iterable[tuple[date, str]]) -> int:
+        """Rows the given reports hold, from the run records (a read of the
+        small runs table, not of the reports): a measured bound on their ids."""
+        total = self.runs().where(_pairs_predicate(list(pairs))).agg(F.sum("row_count")).first()[0]
+        return int(total or 0)
+
     def write(self, report: DataFrame, report_date: date, slot: str) -> int:
         """Write one slot's report, record the run, return its row count."""
         rows = report.select(*REPORT_COLUMNS).sortWithinPartitions("transaction_time", "transaction_id")

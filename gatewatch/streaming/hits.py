@@ -1,0 +1,117 @@
+"""Structured Streaming form of the hit detection (optional extension).
+
+The batch job re-reads a window several times a day and anti-joins the ids
+earlier reports published. A stream publishes each hit once instead:
+
+1. Gate transactions arrive as a streaming DataFrame (GATE_TXN columns plus
+   ``mem_type``), e.g. ``spark.readStream.schema(...).parquet(folder)``.
+2. A stream-static left semi join keeps watchlisted plates (broadcast when
+   the list is measured small).
+3. The singleton count is a watermarked streaming aggregation in append
+   mode: a (kind, time, plate, province) group is emitted exactly once, when
+   the watermark passes its time, so late rows within the delay still count.
+   State holds only groups inside the delay.
+4. ``foreachBatch`` runs the batch operators on each micro-batch of final
+   candidates: enrichment joins against the static tables and the first hit
+   per vehicle. The first-hit partitions are keyed by transaction time, and
+   all groups of one time are emitted in the same micro-batch, so the
+   per-batch pick equals the batch job's pick.
+
+Results are final but late (up to the watermark delay); rows later than the
+delay are dropped by the aggregation, where the batch job would still see them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from gatewatch.operators.broadcast import maybe_broadcast, row_count_at_most
+from gatewatch.operators.transactions import SINGLETON_KEYS, paid_active
+from gatewatch.operators.watchlist import watchlist_plates
+from gatewatch.plans.hits import (
+    CANDIDATE_COLUMNS,
+    HitLimits,
+    Watchlist,
+    enrich_candidates,
+    materialize,
+    named_watchlist,
+)
+from gatewatch.sources.tables import TollTables
+
+EVENT_TIME = "_event_time"
+
+
+def candidate_stream(gate_stream: DataFrame, watchlist: Watchlist, delay: str) -> DataFrame:
+    """Streaming candidates: watchlisted, singleton, paid and live transactions,
+    each emitted once its group can no longer change."""
+    plates = maybe_broadcast(watchlist_plates(watchlist.rows), watchlist.small)
+    s = gate_stream.join(plates, ["vehicle_license_1", "vehicle_license_2"], "left_semi")
+    s = s.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in SINGLETON_KEYS)))
+    # Event time must be a session-zone timestamp for the watermark.
+    s = s.withColumn(EVENT_TIME, F.col("transaction_date").cast("timestamp")).withWatermark(EVENT_TIME, delay)
+    group = ["mem_type", EVENT_TIME, *SINGLETON_KEYS]
+    payload = [c for c in CANDIDATE_COLUMNS + ("fee_amount", "delete_flag") if c not in group]
+    counted = s.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in payload])
+    return paid_active(counted.where(F.col("_n") == 1)).select(*CANDIDATE_COLUMNS)
+
+
+def hits_batch_processor(
+    tables: TollTables,
+    watchlist: Watchlist,
+    sink: Callable[[DataFrame, int], None],
+    limits: HitLimits = HitLimits(),
+    with_invoices: bool = True,
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: candidates of one micro-batch -> hits -> sink.
+    The batch is checkpointed and measured like the batch job's candidates."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        cand = materialize(batch, limits.checkpoint_candidates)
+        small = row_count_at_most(cand, limits.candidate_rows) <= limits.candidate_rows
+        sink(enrich_candidates(tables, cand, small, watchlist, with_invoices, limits), batch_id)
+
+    return process
+
+
+def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Idempotent per-batch sink: each micro-batch overwrites its own
+    ``batch_id`` partition, so a replayed batch replaces its earlier output."""
+
+    def write(hits: DataFrame, batch_id: int) -> None:
+        (
+            hits.withColumn("batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(path)
+        )
+
+    return write
+
+
+def start_hit_stream(
+    tables: TollTables,
+    gate_stream: DataFrame,
+    list_name: str,
+    checkpoint_location: str,
+    sink: Callable[[DataFrame, int], None],
+    delay: str = "2 hours",
+    limits: HitLimits = HitLimits(),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start the streaming hit job; ``trigger`` is passed to ``DataStreamWriter.trigger``
+    (e.g. ``{"availableNow": True}`` or ``{"processingTime": "5 minutes"}``)."""
+    watchlist = named_watchlist(tables, list_name, limits)
+    writer = (
+        candidate_stream(gate_stream, watchlist, delay)
+        .writeStream.outputMode("append")
+        .option("checkpointLocation", checkpoint_location)
+        .foreachBatch(hits_batch_processor(tables, watchlist, sink, limits))
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()

@@ -57,7 +57,7 @@ def test_hits_are_window_local(spark):
         "a": Window.parse("2024-01-10 00:00:00", "2024-01-12 08:00:00"),
         "b": Window.parse("2024-01-11 17:00:00", "2024-01-12 11:00:00"),
     }
-    split = hits_by_window(t, {**inner, "u": u}, "ASIA")
+    split, _ = hits_by_window(t, {**inner, "u": u}, "ASIA")
     for name, w in inner.items():
         direct = sorted(tuple(r) for r in watchlist_hits(t, w, "ASIA").collect())
         assert sorted(tuple(r) for r in split[name].collect()) == direct
