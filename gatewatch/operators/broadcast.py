@@ -1,14 +1,24 @@
-"""Broadcast only behind a measured size bound.
+"""Broadcast only behind a measured size bound; prune by measured key ranges.
 
 ``bounded_broadcast`` counts at most ``max_rows + 1`` rows (a cheap job: the
 limit stops each task early) and hints a broadcast only when the side is
 within the bound. Beyond it the join is left to the planner, which shuffles
 both sides (sort-merge join, with AQE splitting skewed partitions).
+
+``KeySet`` is a measured set of join keys (usually checkpointed): one job
+gives its row count and its value range. It reduces a large table to the rows
+whose key is in the set in two steps: a range predicate on the bare key
+column, which reaches the Parquet scan and skips row groups and files outside
+the range (ids and invoice numbers are assigned in time order, so a few days
+of keys cover a narrow slice of a large table), then a left semi join,
+broadcast when the set is within its bound.
 """
 
 from __future__ import annotations
 
 import logging
+from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,3 +42,33 @@ def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side") -> tuple
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
     """Hint a broadcast for a side whose bound was already measured."""
     return F.broadcast(df) if small else df
+
+
+@dataclass(frozen=True)
+class KeySet:
+    """Keys in ``rows[column]``, with their measured count and range."""
+
+    rows: DataFrame
+    column: str
+    count: int
+    lo: Any
+    hi: Any
+    small: bool
+
+    def restrict(self, table: DataFrame, key: str) -> DataFrame:
+        """Rows of ``table`` whose ``key`` is in the set."""
+        ranged = table.where(F.col(key).between(F.lit(self.lo), F.lit(self.hi)))
+        keys = maybe_broadcast(self.rows.select(F.col(self.column).alias("_k")), self.small)
+        return ranged.join(keys, ranged[key] == keys["_k"], "left_semi")
+
+
+def measure_keys(df: DataFrame, columns: list[str], max_rows: int) -> dict[str, KeySet]:
+    """One aggregation job: row count and min/max of each key column of ``df``
+    (meant for a checkpointed frame), as a ``KeySet`` per column."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for c in columns:
+        aggs += [F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}")]
+    r = df.agg(*aggs).first()
+    n = r["_n"]
+    log.info("key set %s: %s rows", columns, n)
+    return {c: KeySet(df, c, n, r[f"_lo_{c}"], r[f"_hi_{c}"], n <= max_rows) for c in columns}

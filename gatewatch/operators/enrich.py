@@ -1,10 +1,11 @@
 """Enrichment joins of the gate transactions (JOIN2-JOIN5, FN1, SET1/AGG2).
 
 The camera tables are as large as the transaction tables and have no time
-column, so every camera join takes an optional ``ids`` DataFrame: when given,
-the camera rows are first reduced to those ids with a left-semi join (a
-broadcast filter on the scan side when ``ids_small``), and only the reduced
-rows meet the transactions. Row results are identical either way.
+column, so every camera join takes an optional measured ``KeySet`` of the
+transactions' ids: when given, the camera rows are first reduced to those ids
+(range predicate pushed to the scan, then a left semi join that is broadcast
+when the set is small), and only the reduced rows meet the transactions. Row
+results are identical either way.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.functions.columns import vehicle_class
-from gatewatch.operators.broadcast import maybe_broadcast
+from gatewatch.operators.broadcast import KeySet, maybe_broadcast
 from gatewatch.schemas import SOURCE_ROW_COLUMNS
 
 
@@ -27,14 +28,6 @@ def province_lookup(df: DataFrame, office: DataFrame, office_small: bool = False
     return df.join(o, df["vehicle_province"] == o["_code"], "inner").drop("_code")
 
 
-def _restrict(table: DataFrame, key: str, ids: DataFrame | None, id_col: str, ids_small: bool) -> DataFrame:
-    """Keep the ``table`` rows whose ``key`` occurs in ``ids[id_col]`` (left semi)."""
-    if ids is None:
-        return table
-    keys = maybe_broadcast(ids.select(F.col(id_col).alias("_k")), ids_small)
-    return table.join(keys, table[key] == keys["_k"], "left_semi")
-
-
 def tagged_cameras(cameras: Mapping[str, DataFrame]) -> DataFrame:
     """The per-kind camera tables as one table tagged by ``mem_type``."""
     out = None
@@ -50,28 +43,24 @@ def tagged_cameras(cameras: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def camera_left_join(
-    df: DataFrame,
-    cameras: Mapping[str, DataFrame],
-    ids: DataFrame | None = None,
-    ids_small: bool = False,
+    df: DataFrame, cameras: Mapping[str, DataFrame], ids: KeySet | None = None
 ) -> DataFrame:
     """Left join each kind's camera table by transaction id (JOIN3)."""
-    cam = tagged_cameras(
-        {k: _restrict(c, "transaction_id", ids, "transaction_id", ids_small) for k, c in cameras.items()}
-    )
+    if ids is not None:
+        cameras = {k: ids.restrict(c, "transaction_id") for k, c in cameras.items()}
+    cam = tagged_cameras(cameras)
     cond = (df["mem_type"] == cam["_cam_kind"]) & (df["transaction_id"] == cam["_cam_id"])
     return df.join(cam, cond, "left").drop("_cam_kind", "_cam_id")
 
 
-def back_camera_left_join(
-    df: DataFrame, back: DataFrame, ids: DataFrame | None = None, ids_small: bool = False
-) -> DataFrame:
+def back_camera_left_join(df: DataFrame, back: DataFrame, refs: KeySet | None = None) -> DataFrame:
     """Left join the back picture by reference id, with ``delete_flag = 0``
     part of the join condition, not a filter on the result (JOIN5)."""
     live = back.where(F.col("delete_flag") == 0).select(
         F.col("ref_transaction_id").alias("_ref"), "back_path_pic"
     )
-    live = _restrict(live, "_ref", ids, "ref_transaction_id", ids_small)
+    if refs is not None:
+        live = refs.restrict(live, "_ref")
     return df.join(live, df["ref_transaction_id"] == live["_ref"], "left").drop("_ref")
 
 

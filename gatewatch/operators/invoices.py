@@ -2,11 +2,11 @@
 
 Header and detail tables are both large. When only some transactions need a
 status, the detail rows are first reduced to those transaction ids
-(``reduced_details``, a map-side filter when the id set is measured small);
-the caller materialises and measures that result, and only a measured small
-one filters the headers map-side by invoice number. Beyond the bounds every
-step is a shuffle join. The result equals the full lookup restricted to the
-wanted ids, which is all a left join by transaction id can use.
+(``reduced_details``, with a measured ``KeySet``); the caller materialises and
+measures that result, whose invoice numbers then reduce the headers the same
+way. Beyond the bounds every step is a shuffle join. The result equals the
+full lookup restricted to the wanted ids, which is all a left join by
+transaction id can use.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.operators.broadcast import maybe_broadcast
+from gatewatch.operators.broadcast import KeySet, maybe_broadcast
 from gatewatch.sources.tables import TollTables
 
 INVOICE_COLUMNS = ("status", "create_channel", "transaction_id")
@@ -49,28 +49,23 @@ def invoice_union_distinct(tables: TollTables) -> DataFrame:
     return out.distinct()
 
 
-def reduced_details(tables: TollTables, ids: DataFrame, ids_small: bool) -> DataFrame:
+def reduced_details(tables: TollTables, ids: KeySet) -> DataFrame:
     """Detail rows of both invoice kinds whose transaction id is in ``ids``,
     tagged with their side (``_side``)."""
-    wanted = maybe_broadcast(ids.select(F.col("transaction_id").alias("_tid")), ids_small)
     out = None
     for side, _, detail in _pairs(tables):
-        d = _detail(detail)
-        d = d.join(wanted, d["transaction_id"] == wanted["_tid"], "left_semi").withColumn("_side", F.lit(side))
+        d = ids.restrict(_detail(detail), "transaction_id").withColumn("_side", F.lit(side))
         out = d if out is None else out.unionByName(d)
     return out
 
 
-def invoices_for_details(tables: TollTables, details: DataFrame, details_small: bool) -> DataFrame:
-    """The distinct invoice rows of ``reduced_details``; a measured small
-    detail set also filters each header table map-side by invoice number."""
+def invoices_for_details(tables: TollTables, details: DataFrame, invoice_nos: KeySet) -> DataFrame:
+    """The distinct invoice rows of ``reduced_details``; ``invoice_nos`` is the
+    measured key set of its ``_inv`` column, which reduces each header table."""
     out = None
     for side, header, _ in _pairs(tables):
         d = details.where(F.col("_side") == side).drop("_side")
-        if details_small:
-            keys = F.broadcast(d.select(F.col("_inv").alias("_hk")))
-            header = header.join(keys, header["invoice_no"] == keys["_hk"], "left_semi")
-        pair = _join(header, d, details_small)
+        pair = _join(invoice_nos.restrict(header, "invoice_no"), d, invoice_nos.small)
         out = pair if out is None else out.unionByName(pair)
     return out.distinct()
 

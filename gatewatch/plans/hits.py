@@ -16,10 +16,13 @@ Physical shape chosen here (SURVEY section 4, rewrites R1-R6):
 2. Singleton count as a partially aggregated group-by (skew-safe), joined back
    on keys + id; then paid/active. This candidate set is checkpointed to the
    shared checkpoint folder (cuts lineage, survives executor loss) and counted.
-3. A measured small candidate set filters the camera, back-camera and
-   invoice-detail tables map-side (broadcast left-semi), so those large
-   tables are scanned but not shuffled. The reduced invoice details are
-   checkpointed and measured in turn before they filter the invoice headers.
+3. One job measures the candidates: count and id ranges. The camera,
+   back-camera and invoice-detail tables are reduced to the candidate ids by
+   a range predicate pushed to their scans (row groups and files outside the
+   range are skipped) and a left semi join, broadcast when the count is within
+   bound, so those large tables are never shuffled. The reduced invoice
+   details are checkpointed and measured in turn before they reduce the
+   invoice headers the same way.
    The reduced tables then meet the candidates in joins the planner sizes
    (AQE turns them into broadcasts at runtime when small). Beyond any bound
    every join falls back to shuffle joins.
@@ -40,7 +43,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.operators.broadcast import bounded_broadcast, maybe_broadcast, row_count_at_most
+from gatewatch.operators.broadcast import KeySet, bounded_broadcast, maybe_broadcast, measure_keys
 from gatewatch.operators.enrich import (
     back_camera_left_join,
     camera_left_join,
@@ -113,10 +116,15 @@ def hit_candidates(
     return paid_active(singleton_groups(txn)).select(*CANDIDATE_COLUMNS)
 
 
+def measure_candidates(cand: DataFrame, limits: HitLimits) -> dict[str, KeySet]:
+    """Count and key ranges of the (checkpointed) candidates, one job."""
+    return measure_keys(cand, ["transaction_id", "ref_transaction_id"], limits.candidate_rows)
+
+
 def enrich_candidates(
     tables: TollTables,
     cand: DataFrame,
-    cand_small: bool,
+    keys: dict[str, KeySet],
     watchlist: Watchlist,
     with_invoices: bool = True,
     limits: HitLimits = HitLimits(),
@@ -129,13 +137,13 @@ def enrich_candidates(
     chosen row: reports, which do not show it, skip it (R11).
     """
     x = province_lookup(cand, tables.province_office)
-    x = camera_left_join(x, tables.camera, ids=cand, ids_small=cand_small)
-    x = back_camera_left_join(x, tables.back_camera, ids=cand, ids_small=cand_small)
+    x = camera_left_join(x, tables.camera, ids=keys["transaction_id"])
+    x = back_camera_left_join(x, tables.back_camera, refs=keys["ref_transaction_id"])
     x = source_union_distinct(with_vehicle_class(x))
     if with_invoices:
-        details = materialize(reduced_details(tables, cand, cand_small), limits.checkpoint_candidates)
-        _, details_small = bounded_broadcast(details, limits.candidate_rows, "invoice details")
-        x = invoice_status_left_join(x, invoices_for_details(tables, details, details_small))
+        details = materialize(reduced_details(tables, keys["transaction_id"]), limits.checkpoint_candidates)
+        invoice_nos = measure_keys(details, ["_inv"], limits.candidate_rows)["_inv"]
+        x = invoice_status_left_join(x, invoices_for_details(tables, details, invoice_nos))
     else:
         x = x.withColumn("status", F.lit(None).cast("string")).withColumn(
             "create_channel", F.lit(None).cast("string")
@@ -177,9 +185,9 @@ def compute_hits(
     """``watchlist_hits`` with the measured candidate bound kept."""
     watchlist = named_watchlist(tables, list_name, limits)
     cand = materialize(hit_candidates(tables, window, watchlist), limits.checkpoint_candidates)
-    n = row_count_at_most(cand, limits.candidate_rows)
-    rows = enrich_candidates(tables, cand, n <= limits.candidate_rows, watchlist, with_invoices, limits)
-    return Hits(rows, n, limits)
+    keys = measure_candidates(cand, limits)
+    rows = enrich_candidates(tables, cand, keys, watchlist, with_invoices, limits)
+    return Hits(rows, keys["transaction_id"].count, limits)
 
 
 def watchlist_hits(

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gatewatch.operators.broadcast import maybe_broadcast, row_count_at_most
+from gatewatch.operators.broadcast import maybe_broadcast
 from gatewatch.operators.transactions import SINGLETON_KEYS, paid_active
 from gatewatch.operators.watchlist import watchlist_plates
 from gatewatch.plans.hits import (
@@ -38,6 +38,7 @@ from gatewatch.plans.hits import (
     Watchlist,
     enrich_candidates,
     materialize,
+    measure_candidates,
     named_watchlist,
 )
 from gatewatch.sources.tables import TollTables
@@ -71,8 +72,8 @@ def hits_batch_processor(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         cand = materialize(batch, limits.checkpoint_candidates)
-        small = row_count_at_most(cand, limits.candidate_rows) <= limits.candidate_rows
-        sink(enrich_candidates(tables, cand, small, watchlist, with_invoices, limits), batch_id)
+        keys = measure_candidates(cand, limits)
+        sink(enrich_candidates(tables, cand, keys, watchlist, with_invoices, limits), batch_id)
 
     return process
 
