@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +25,13 @@ from gatewatch.operators.enrich import (
 from gatewatch.operators.invoices import invoice_status_left_join, invoice_union_distinct
 from gatewatch.operators.transactions import (
     filter_window_inclusive,
+    filter_windows,
     paid_active,
     scan_gate_txn,
     singleton_groups,
 )
 from gatewatch.operators.watchlist import WATCHLIST_COLUMNS, watchlist_like_join, watchlist_type_filter
-from gatewatch.plans.hits import hits_by_window, watchlist_hits
+from gatewatch.plans.hits import compute_hits, watchlist_hits
 from gatewatch.plans.pictures import picture_names
 from gatewatch.operators.published import exclude_ids
 from gatewatch.plans.reports import report_columns, report_width_profile
@@ -166,25 +168,22 @@ def q_slot_windows(spark, sf_dir):
     return slot_windows(_run_days(_tables(spark, sf_dir)))
 
 
-def _published_windows(slot_name: str, run_date: date) -> dict[str, Window]:
-    return {f"{d.isoformat()}/{s}": slot_window(s, d) for d, s in excluded_reports(slot_name, run_date)}
-
-
 def published_and_fresh(t: TollTables, slot_name: str, run_date: date) -> tuple[DataFrame, DataFrame, bool]:
     """(ids the slot's earlier reports listed, this slot's hits, whether the
     ids are measured small), from one candidate computation over the cover of
-    all windows involved. The earlier reports are taken to have run on the
-    same data, so together they listed every hit of their windows. Their ids
-    are candidate ids, so the measured candidate count bounds them."""
-    windows = _published_windows(slot_name, run_date)
-    windows["_slot"] = slot_window(slot_name, run_date)
-    by_window, hits = hits_by_window(t, windows, LIST_NAME, with_invoices=False)
-    slot_hits = by_window.pop("_slot")
-    published = None
-    for h in by_window.values():
-        ids = h.select("transaction_id")
-        published = ids if published is None else published.unionByName(ids)
-    return published, slot_hits, hits.ids_small
+    all windows involved.
+
+    The earlier reports are taken to have run on the same data, so together
+    they listed every hit of their windows. Hits are local to their
+    transaction time, so those ids are the ids of the cover's hits whose time
+    lies in the union of the earlier windows: one filter, not one branch per
+    report. They are candidate ids, so the measured candidate count bounds them.
+    """
+    earlier = [slot_window(s, d) for d, s in excluded_reports(slot_name, run_date)]
+    own = slot_window(slot_name, run_date)
+    hits = compute_hits(t, reduce(Window.cover, earlier, own), LIST_NAME, with_invoices=False)
+    published = filter_windows(hits.rows, earlier).select("transaction_id")
+    return published, filter_window_inclusive(hits.rows, own), hits.ids_small
 
 
 def q_published_ids(spark, sf_dir):

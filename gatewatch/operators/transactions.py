@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.sources.tables import MEM_TYPES, TollTables, Window
+from gatewatch.sources.tables import MEM_TYPES, TollTables, Window, merge_windows
 
 # A transaction is reported only if it is the single row of its
 # (time, plate part 1, plate part 2, province) group within its kind.
@@ -35,6 +35,16 @@ def filter_window_inclusive(df: DataFrame, window: Window, column: str = "transa
     return df.where(F.col(column).between(window.lo_lit(), window.hi_lit()))
 
 
+def filter_windows(df: DataFrame, windows: Iterable[Window], column: str = "transaction_date") -> DataFrame:
+    """Rows whose ``column`` lies in any of the windows (merged first, so the
+    predicate is one range per disjoint interval)."""
+    cond = None
+    for w in merge_windows(windows):
+        term = F.col(column).between(w.lo_lit(), w.hi_lit())
+        cond = term if cond is None else cond | term
+    return df.where(cond if cond is not None else F.lit(False))
+
+
 def paid_active(df: DataFrame) -> DataFrame:
     """``fee_amount > 0 AND delete_flag = 0`` (FLT2, FLT3). NULL fails both."""
     return df.where((F.col("fee_amount") > 0) & (F.col("delete_flag") == 0))

@@ -47,6 +47,18 @@ class Window:
         return Window(min(self.lo, other.lo), max(self.hi, other.hi))
 
 
+def merge_windows(windows) -> list[Window]:
+    """The union of inclusive second-precision windows as disjoint windows,
+    sorted; windows that overlap or touch (next second) are merged."""
+    out: list[Window] = []
+    for w in sorted(windows, key=lambda w: w.lo):
+        if out and w.lo <= out[-1].hi + timedelta(seconds=1):
+            out[-1] = out[-1].cover(w)
+        else:
+            out.append(w)
+    return out
+
+
 def ts_literal(value: datetime) -> Column:
     """A time-zone-free timestamp literal (folded to a constant by Catalyst)."""
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
