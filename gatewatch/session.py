@@ -16,6 +16,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Call-site capture for error messages costs several driver round trips
+    # per column expression; a scheduled job does not need it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
