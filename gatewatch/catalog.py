@@ -12,7 +12,6 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gatewatch.operators.enrich import (
     back_camera_left_join,
@@ -35,14 +34,7 @@ from gatewatch.plans.hits import compute_hits, watchlist_hits
 from gatewatch.plans.pictures import picture_names
 from gatewatch.operators.published import exclude_ids
 from gatewatch.plans.reports import report_columns, report_width_profile
-from gatewatch.plans.slots import (
-    SLOT_NAMES,
-    excluded_reports,
-    explode_slots,
-    slot_window,
-    slot_windows,
-    transaction_days,
-)
+from gatewatch.plans.slots import excluded_reports, slot_window, slot_windows, transaction_days
 from gatewatch.schemas import GATE_TXN, SOURCE_ROW_COLUMNS
 from gatewatch.sources.fixtures import fixture_tables
 from gatewatch.sources.tables import TollTables, Window

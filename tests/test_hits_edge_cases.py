@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from conftest import make_tables, ts, txn, wl_row
+from conftest import make_tables, txn, wl_row
 
 from gatewatch import Window, watchlist_hits
 from gatewatch.operators.enrich import rollback_left_join
