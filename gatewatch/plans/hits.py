@@ -88,7 +88,7 @@ CANDIDATE_COLUMNS = (
 class HitLimits:
     """Row bounds under which a side is broadcast (measured per run)."""
 
-    watchlist_rows: int = 2_000_000
+    watchlist_rows: int = 1_000_000
     candidate_rows: int = 2_000_000
     checkpoint_candidates: bool = True
 

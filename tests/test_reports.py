@@ -6,7 +6,7 @@ import os
 from datetime import date
 
 import pytest
-from conftest import SF01, make_tables, txn, wl_row
+from conftest import SF001, SF01, make_tables, txn, wl_row
 
 from gatewatch import build_report, fixture_tables, report_columns, report_width_profile
 from gatewatch.operators.published import exclude_ids
@@ -120,3 +120,15 @@ def test_report_chain_sizes_and_disjointness(spark, scratch):
     after = sorted(r.transaction_id for r in store.reports().where("slot = 'NIGHT' AND report_date = DATE'2024-01-12'").collect())
     assert before == after
     assert store.reports().count() == sum(sum(v) for v in EXPECTED_SF001.values())
+
+
+def test_cli_run_and_check(spark, scratch, capsys):
+    from gatewatch.__main__ import main
+
+    common = ["--date", "2024-01-12", "--store", scratch, "--list", "ASIA"]
+    assert main(["check", "B", *common], spark=spark) == 1
+    assert "missing: 2024-01-12 NIGHT" in capsys.readouterr().out
+    assert main(["run", "C", *common, "--tables", f"fixture:{SF001}"], spark=spark) == 0
+    assert "DAY-1 2024-01-12: 18 rows" in capsys.readouterr().out  # empty store: nothing excluded
+    assert main(["check", "C", *common], spark=spark) == 0
+    assert main(["check", "night", *common, "--rerun", "--tables", f"fixture:{SF001}"], spark=spark) == 0
