@@ -59,8 +59,9 @@ def singleton_groups(
 
     Rows with a NULL key are dropped (the source joins the groups back on
     equality). One aggregation replaces the source's count-then-self-join:
-    it counts each group and carries ``first()`` of every other column; for a
-    group of one row that *is* the row. The aggregation is partial on the map
+    it counts each group and carries ``min()`` of every other column; for a
+    group of one row that *is* the row (and ``min`` is deterministic, unlike
+    ``first``, so a retried stage reproduces its output). The aggregation is partial on the map
     side, so a hot group costs one row per map task rather than landing whole
     in one task, and the input is scanned once.
     """
@@ -68,6 +69,6 @@ def singleton_groups(
     payload = [c for c in df.columns if c not in group]
     keyed = df.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
     counted = keyed.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in payload]
+        F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in payload]
     )
     return counted.where(F.col("_n") == 1).select(*df.columns)

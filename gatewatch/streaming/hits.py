@@ -56,7 +56,7 @@ def candidate_stream(gate_stream: DataFrame, watchlist: Watchlist, delay: str) -
     s = s.withColumn(EVENT_TIME, F.col("transaction_date").cast("timestamp")).withWatermark(EVENT_TIME, delay)
     group = ["mem_type", EVENT_TIME, *SINGLETON_KEYS]
     payload = [c for c in CANDIDATE_COLUMNS + ("fee_amount", "delete_flag") if c not in group]
-    counted = s.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in payload])
+    counted = s.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in payload])
     return paid_active(counted.where(F.col("_n") == 1)).select(*CANDIDATE_COLUMNS)
 
 
