@@ -148,10 +148,25 @@ def enrich_candidates(
         x = x.withColumn("status", F.lit(None).cast("string")).withColumn(
             "create_channel", F.lit(None).cast("string")
         )
-    hits = watchlist_like_join(x, watchlist.rows, watchlist.small)
+    hits = watchlist_like_join(x, *candidate_watchlist(cand, keys["transaction_id"].small, watchlist))
     return first_hit_per_vehicle(hits).select(*HIT_COLUMNS)
 
 
+def candidate_watchlist(cand: DataFrame, cand_small: bool, watchlist: Watchlist) -> tuple[DataFrame, bool]:
+    """The watchlist side of the final LIKE join. A watchlist too large to
+    broadcast is first reduced to the candidates' plate pairs (a broadcast
+    semi join when the candidates are measured small), so it is not shuffled
+    whole; the reduced rows then meet the candidates in a planner-sized join."""
+    if watchlist.small or not cand_small:
+        return watchlist.rows, watchlist.small
+    plates = F.broadcast(
+        cand.select(F.col("vehicle_license_1").alias("_p1"), F.col("vehicle_license_2").alias("_p2"))
+    )
+    wl = watchlist.rows
+    cond = (wl["plate1"] == plates["_p1"]) & (wl["plate2"] == plates["_p2"])
+    return wl.join(plates, cond, "left_semi"), False
+
+
 def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
     """Checkpoint to the session's shared checkpoint folder (reliable, not local)."""
     if not enabled:
