@@ -6,32 +6,36 @@ and not deleted; add province name, camera and back pictures, vehicle class;
 distinct; left join invoice status; inner join the named watchlist by plate
 and province pattern; keep the first row per (time, plate text, province).
 
-Physical shape chosen here (SURVEY section 4, rewrites R1-R6):
+Physical shape chosen here (SURVEY section 4, rewrites R1-R6, R11):
 
 1. The list-filtered watchlist's plate pairs semi-join the windowed
    transactions *before* the singleton count. Legal because both plate parts
    are group keys: a group is kept or dropped whole. With a measured small
-   watchlist this is a map-side broadcast filter on the scan, so the large
-   transaction window is never shuffled.
-2. Singleton count as a partially aggregated group-by (skew-safe), joined back
-   on keys + id; then paid/active. This candidate set is checkpointed to the
-   shared checkpoint folder (cuts lineage, survives executor loss) and counted.
+   watchlist this is a map-side broadcast filter in the scan stage, so the
+   large transaction window is never shuffled.
+2. The singleton count is one group-by that counts each group and carries
+   ``min()`` of the other columns (a one-row group is its row): partial
+   aggregation before the shuffle makes a hot group cheap, and the input is
+   read once. Paid/active follow. The candidates are checkpointed to the
+   shared checkpoint folder (cuts lineage, survives executor loss).
 3. One job measures the candidates: count and id ranges. The camera,
    back-camera and invoice-detail tables are reduced to the candidate ids by
    a range predicate pushed to their scans (row groups and files outside the
    range are skipped) and a left semi join, broadcast when the count is within
    bound, so those large tables are never shuffled. The reduced invoice
    details are checkpointed and measured in turn before they reduce the
-   invoice headers the same way.
-   The reduced tables then meet the candidates in joins the planner sizes
-   (AQE turns them into broadcasts at runtime when small). Beyond any bound
-   every join falls back to shuffle joins.
-4. The list-filtered watchlist is broadcast only when measured small. The
+   invoice headers the same way. The reduced tables meet the candidates in
+   joins the planner sizes (AQE makes them broadcasts at runtime when small).
+4. The watchlist is broadcast into the final LIKE join only when measured
+   small; a larger one is first reduced to the candidates' plates. The
    province and list-type tables are fixed dimensions: the planner broadcasts
-   them from their file-size statistics (``autoBroadcastJoinThreshold``);
-   a source without statistics (JDBC) gets a shuffle join that AQE can turn
-   into a broadcast once the runtime size is known.
+   them from their file-size statistics (``autoBroadcastJoinThreshold``); a
+   source without statistics (JDBC) gets a shuffle join that AQE can turn into
+   a broadcast once the runtime size is known.
 5. ``rn = 1`` runs as a window group limit, partial before the shuffle.
+
+Every bound has a shuffle-join fallback beyond it, and the result does not
+depend on which path runs (``tests/test_properties.py``).
 """
 
 from __future__ import annotations
