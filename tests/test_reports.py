@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from conftest import SF001, SF01, make_tables, txn, wl_row
 
-from gatewatch import build_report, fixture_tables, report_columns, report_width_profile
+from gatewatch import build_report, fixture_tables, report_columns, report_width_profile, watchlist_hits
 from gatewatch.operators.published import exclude_ids
 from gatewatch.plans.completeness import expected_reports, missing_reports
 from gatewatch.plans.reports import HEADER_LABELS
@@ -114,6 +114,15 @@ def test_report_chain_sizes_and_disjointness(spark, scratch):
     assert reports.select("transaction_id").distinct().count() == reports.count()
     runs = {(r.report_date, r.slot): r.row_count for r in store.runs().collect()}
     assert len(runs) == 12
+    # the four reports of D together list the hits of the two wide windows
+    # (D-2 00:00 .. D 08:00 and D 00:00 .. D 16:00) less the ids published on D-2 and D-1
+    d = date(2024, 1, 12)
+    wide = set()
+    for w in (slot_window("DAY-1", d), slot_window("NIGHT", d)):
+        wide |= {r.transaction_id for r in watchlist_hits(t, w, "ASIA").select("transaction_id").collect()}
+    earlier = {r.transaction_id for r in reports.where("report_date < DATE'2024-01-12'").select("transaction_id").collect()}
+    on_d = {r.transaction_id for r in reports.where("report_date = DATE'2024-01-12'").select("transaction_id").collect()}
+    assert on_d == wide - earlier
     # re-running a slot replaces only its own partition and gives the same rows
     before = sorted(r.transaction_id for r in reports.where("slot = 'NIGHT' AND report_date = DATE'2024-01-12'").collect())
     assert build_report(t, store, "NIGHT", date(2024, 1, 12), "ASIA", PREFIX) == 3
@@ -132,3 +141,22 @@ def test_cli_run_and_check(spark, scratch, capsys):
     assert "DAY-1 2024-01-12: 18 rows" in capsys.readouterr().out  # empty store: nothing excluded
     assert main(["check", "C", *common], spark=spark) == 0
     assert main(["check", "night", *common, "--rerun", "--tables", f"fixture:{SF001}"], spark=spark) == 0
+
+
+def test_csv_export_is_globally_ordered(spark, scratch):
+    import csv
+    import glob
+
+    store = ReportStore(spark, scratch)
+    t = fixture_tables(spark, SF01)
+    d = date(2024, 1, 12)
+    assert build_report(t, store, "DAY-1", d, "ASIA", PREFIX) == 104  # empty store: the whole window
+    out = os.path.join(scratch, "csv")
+    store.export_csv(d, "DAY-1", out)
+    rows = []
+    for f in sorted(glob.glob(os.path.join(out, "part-*.csv"))):
+        with open(f, newline="") as fh:
+            rows += list(csv.DictReader(fh))
+    assert len(rows) == 104
+    keys = [(r["transaction_time"], int(r["transaction_id"])) for r in rows]
+    assert keys == sorted(keys)
