@@ -160,3 +160,22 @@ def test_csv_export_is_globally_ordered(spark, scratch):
     assert len(rows) == 104
     keys = [(r["transaction_time"], int(r["transaction_id"])) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_representative_drift_reports_again_under_the_new_id(spark, scratch):
+    """A late row of another kind with a smaller id becomes the vehicle's
+    first hit; it was never published, so a later slot reports it again,
+    as the source job does (exclusion is by id)."""
+    store = ReportStore(spark, scratch)
+    d = date(2024, 1, 12)
+    early = make_tables(spark, member_txn=[txn(10, "2024-01-12 09:00:00")], watchlist_master=[wl_row()])
+    assert build_report(early, store, "DAY", d, "LIST", PREFIX) == 1
+    late = make_tables(
+        spark,
+        member_txn=[txn(10, "2024-01-12 09:00:00")],
+        illegal_txn=[txn(5, "2024-01-12 09:00:00")],
+        watchlist_master=[wl_row()],
+    )
+    assert build_report(late, store, "NIGHT", d, "LIST", PREFIX) == 1
+    got = {(r.slot, r.transaction_id) for r in store.reports().collect()}
+    assert got == {("DAY", 10), ("NIGHT", 5)}
