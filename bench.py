@@ -1,9 +1,11 @@
 """Benchmark the headline queries; print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_RUNS (timed runs per query after two warm-up runs, default 5).
+BENCH_RUNS (timed runs per query, default 5).
+Two warm-up rounds run every query first (JVM and code-generation warm-up
+spread over all of them), then the timed rounds interleave the queries.
 Each timing is wall-clock from building the DataFrame until ``collect()``
-returns; the reported value per query is the median of the timed runs.
+returns; the reported value per query is the median of its timed runs.
 """
 
 from __future__ import annotations
@@ -29,18 +31,17 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = local_session(cpus, shuffle_partitions=cpus)
-    medians, rows = {}, {}
-    for name in HEADLINE:
-        q = QUERIES[name]
-        times = []
-        for i in range(runs + WARMUP):
+    times: dict[str, list[float]] = {name: [] for name in HEADLINE}
+    rows = {}
+    for i in range(WARMUP + runs):
+        for name in HEADLINE:
             t0 = time.perf_counter()
-            out = q(spark, sf_dir).collect()
+            out = QUERIES[name](spark, sf_dir).collect()
             dt = time.perf_counter() - t0
             if i >= WARMUP:
-                times.append(dt)
-        medians[name] = round(statistics.median(times), 3)
-        rows[name] = len(out)
+                times[name].append(dt)
+            rows[name] = len(out)
+    medians = {name: round(statistics.median(ts), 3) for name, ts in times.items()}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
