@@ -15,7 +15,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Delete checkpointed candidates once nothing references them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Call-site capture for error messages costs several driver round trips

@@ -6,10 +6,11 @@ Layout under ``root`` (any Hadoop path: local, HDFS, ``s3a://``):
 - ``runs/report_date=YYYY-MM-DD/slot=NAME/part-*.parquet``: one row per run,
   also for an empty report (SNK3), since an empty write creates no partition.
 
-Both are written with dynamic partition overwrite, so re-running a slot
-replaces exactly its own partition. Earlier reports are read back with one
-partition-pruned scan (SRC4, SRC5, SET3); a store that does not exist yet
-reads as empty.
+Each run overwrites exactly its own partition folder, so re-running a slot
+replaces its earlier output, and an empty result empties it (dynamic
+partition overwrite would leave an empty run's stale rows in place). Earlier
+reports are read back with one partition-pruned scan (SRC4, SRC5, SET3); a
+store that does not exist yet reads as empty.
 """
 
 from __future__ import annotations
@@ -62,24 +63,22 @@ class ReportStore:
         total = self.runs().where(_pairs_predicate(list(pairs))).agg(F.sum("row_count")).first()[0]
         return int(total or 0)
 
+    @staticmethod
+    def _partition(root: str, report_date: date, slot: str) -> str:
+        return f"{root}/report_date={report_date.isoformat()}/slot={slot}"
+
     def write(self, report: DataFrame, report_date: date, slot: str) -> int:
         """Write one slot's report, record the run, return its row count."""
-        rows = report.select(*REPORT_COLUMNS).sortWithinPartitions("transaction_time", "transaction_id")
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("report_date", "slot")
-            .parquet(self.reports_path)
+        rows = (
+            report.where((F.col("report_date") == F.lit(report_date)) & (F.col("slot") == F.lit(slot)))
+            .select(*REPORT_COLUMNS)
+            .drop("report_date", "slot")
+            .sortWithinPartitions("transaction_time", "transaction_id")
         )
+        rows.write.mode("overwrite").parquet(self._partition(self.reports_path, report_date, slot))
         written = self.reports().where(_pairs_predicate([(report_date, slot)])).count()
-        run = self.spark.createDataFrame([(written, report_date, slot)], REPORT_RUNS)
-        (
-            run.coalesce(1)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("report_date", "slot")
-            .parquet(self.runs_path)
-        )
+        run = self.spark.createDataFrame([(written,)], "row_count long")
+        run.coalesce(1).write.mode("overwrite").parquet(self._partition(self.runs_path, report_date, slot))
         return written
 
     def export_csv(self, report_date: date, slot: str, path: str) -> None:

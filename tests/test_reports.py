@@ -179,3 +179,13 @@ def test_representative_drift_reports_again_under_the_new_id(spark, scratch):
     assert build_report(late, store, "NIGHT", d, "LIST", PREFIX) == 1
     got = {(r.slot, r.transaction_id) for r in store.reports().collect()}
     assert got == {("DAY", 10), ("NIGHT", 5)}
+
+
+def test_empty_rerun_empties_the_slot(spark, scratch):
+    store = ReportStore(spark, scratch)
+    d = date(2024, 1, 12)
+    t = make_tables(spark, member_txn=[txn(10, "2024-01-12 09:00:00")], watchlist_master=[wl_row()])
+    assert build_report(t, store, "DAY", d, "LIST", PREFIX) == 1
+    assert build_report(make_tables(spark), store, "DAY", d, "LIST", PREFIX) == 0
+    assert store.reports().count() == 0
+    assert [(r.slot, r.row_count) for r in store.runs().collect()] == [("DAY", 0)]
