@@ -80,16 +80,11 @@ def hits_batch_processor(
 
 def parquet_sink(path: str) -> Callable[[DataFrame, int], None]:
     """Idempotent per-batch sink: each micro-batch overwrites its own
-    ``batch_id`` partition, so a replayed batch replaces its earlier output."""
+    ``batch_id=N`` folder, so a replayed batch replaces its earlier output
+    (also when the replay is empty)."""
 
     def write(hits: DataFrame, batch_id: int) -> None:
-        (
-            hits.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
+        hits.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
     return write
 
