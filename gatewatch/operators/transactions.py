@@ -61,9 +61,9 @@ def singleton_groups(
     equality). One aggregation replaces the source's count-then-self-join:
     it counts each group and carries ``min()`` of every other column; for a
     group of one row that *is* the row (and ``min`` is deterministic, unlike
-    ``first``, so a retried stage reproduces its output). The aggregation is partial on the map
-    side, so a hot group costs one row per map task rather than landing whole
-    in one task, and the input is scanned once.
+    ``first``, so a retried stage reproduces its output). The aggregation is
+    partial on the map side, so a hot group costs one row per map task rather
+    than landing whole in one task, and the input is scanned once.
     """
     group = [*by, *keys]
     payload = [c for c in df.columns if c not in group]

@@ -54,8 +54,9 @@ def watchlist_type_filter(
 
     The source writes a left join followed by ``list_name = ...``; the
     equality rejects the NULLs a left join would add, so it is an inner join.
-    The type table is filtered by name first; a measured small result
-    filters the watchlist map-side.
+    The type table is filtered by name first. It is hinted as a broadcast
+    only when the caller measured it small (``types_small``); otherwise the
+    planner sizes the join from the table's statistics.
     """
     t = list_type_ids(types, list_name)
     t = maybe_broadcast(t, types_small)
