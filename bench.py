@@ -50,6 +50,7 @@ def main() -> None:
                 "value": round(sum(medians.values()), 3),
                 "unit": "sec",
                 "queries": medians,
+                "runs_sec": {name: [round(t, 3) for t in ts] for name, ts in times.items()},
                 "rows": rows,
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
