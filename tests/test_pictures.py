@@ -6,7 +6,7 @@ import os
 import struct
 import zlib
 
-from gatewatch.plans.pictures import picture_names, picture_table, read_pictures
+from gatewatch.plans.pictures import picture_names, picture_table, read_pictures, read_pictures_for
 
 
 def write_png(path: str, width: int, height: int) -> None:
@@ -51,3 +51,21 @@ def test_picture_table(spark, scratch):
     assert abs(rows["body/1.png"].scale - 50 / 35) < 1e-9
     assert abs(rows["plate/1.png"].scale - 350 / 140) < 1e-9
     assert rows["back/missing.png"].width is None and rows["back/missing.png"].scale is None
+
+
+def test_read_pictures_for_decodes_only_wanted_keys(spark, scratch):
+    root = os.path.join(scratch, "pictures")
+    write_png(os.path.join(root, "body", "1.png"), 70, 35)
+    write_png(os.path.join(root, "body", "2.png"), 10, 20)
+    write_png(os.path.join(root, "plate", "1.png"), 140, 20)
+    wl = spark.createDataFrame(
+        [("body/1.png", "plate/1.png", "back/missing.png")], "img_body string, img_plate string, img_back string"
+    )
+    keys = picture_names(wl)
+    got = sorted(tuple(r) for r in read_pictures_for(spark, root, keys).collect())
+    assert got == [("body/1.png", 70, 35), ("plate/1.png", 140, 20)]
+    # beyond the bound it decodes the whole folder instead; the table is the same
+    wide = picture_table(keys, read_pictures_for(spark, root, keys, max_files=0))
+    assert sorted(tuple(r) for r in wide.collect()) == sorted(tuple(r) for r in picture_table(keys, read_pictures_for(spark, root, keys)).collect())
+    none = spark.createDataFrame([("body/none.png", None, None)], "img_body string, img_plate string, img_back string")
+    assert read_pictures_for(spark, root, picture_names(none)).count() == 0
