@@ -1,9 +1,10 @@
 """Broadcast only behind a measured size bound; prune by measured key ranges.
 
-``bounded_broadcast`` counts at most ``max_rows + 1`` rows (a cheap job: the
-limit stops each task early) and hints a broadcast only when the side is
-within the bound. Beyond it the join is left to the planner, which shuffles
-both sides (sort-merge join, with AQE splitting skewed partitions).
+``bounded_broadcast`` counts the side (a distributed partial aggregation;
+not ``limit(n).count()``, whose global limit funnels up to n rows per map
+partition into one task) and hints a broadcast only when the side is within
+the bound. Beyond it the join is left to the planner, which shuffles both
+sides (sort-merge join, with AQE splitting skewed partitions).
 
 ``KeySet`` is a measured set of join keys (usually checkpointed): one job
 gives its row count and its value range. It reduces a large table to the rows
@@ -26,16 +27,11 @@ from pyspark.sql import functions as F
 log = logging.getLogger(__name__)
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> int:
-    """min(count(df), max_rows + 1) without counting past the bound."""
-    return df.limit(max_rows + 1).count()
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side") -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` if df has at most ``max_rows`` rows, else ``(df, False)``."""
-    n = row_count_at_most(df, max_rows)
+    n = df.count()
     small = n <= max_rows
-    log.info("%s: %s rows -> %s", what, n if small else f">{max_rows}", "broadcast" if small else "shuffle")
+    log.info("%s: %s rows -> %s", what, n, "broadcast" if small else "shuffle")
     return (F.broadcast(df) if small else df), small
 
 

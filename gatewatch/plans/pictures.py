@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatewatch.functions.columns import safe_ratio
-from gatewatch.operators.broadcast import row_count_at_most
 
 # Picture kinds, the watchlist column holding each kind's
 # object key, and the display scaling target (height 50 for body and back
@@ -80,7 +79,7 @@ def read_pictures_for(
         .select(_key_of(F.col("path")).alias("key"), "path")
     )
     wanted = listing.join(keys.select("key"), "key", "left_semi")
-    if row_count_at_most(wanted, max_files) > max_files:
+    if wanted.count() > max_files:
         return read_pictures(spark, root)
     paths = [r.path for r in wanted.select("path").distinct().collect()]
     if not paths:
