@@ -40,7 +40,7 @@ def exclude_published(
 ) -> DataFrame:
     """Hits whose id no earlier report listed (NULL-safe left anti join).
     ``bound`` is a known upper bound on the published rows; without one they
-    are counted (up to the limit) before deciding to broadcast them."""
+    are counted before deciding to broadcast them."""
     if bound is None:
         _, small = bounded_broadcast(published.select("transaction_id"), limits.candidate_rows, "published ids")
     else:
