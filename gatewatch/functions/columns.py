@@ -32,6 +32,27 @@ def vehicle_class(wheel_code: Column | str = "vehicle_wheel_code") -> Column:
     return expr.otherwise(UNKNOWN_CLASS)
 
 
+def vehicle_class_code(wheel_code: Column | str = "vehicle_wheel_code") -> Column:
+    """FN1 as a small integer: the 1-based position of the wheel code in
+    ``WHEEL_CLASSES``, 0 for any other code or NULL. Evaluated before an
+    aggregation it keeps the aggregation buffer fixed-width (hash aggregation
+    instead of a sort-based one); ``vehicle_class_name`` turns it back."""
+    code = _c(wheel_code)
+    expr = None
+    for i, (value, _) in enumerate(WHEEL_CLASSES, start=1):
+        expr = F.when(code == value, i) if expr is None else expr.when(code == value, i)
+    return expr.otherwise(0)
+
+
+def vehicle_class_name(class_code: Column | str = "vehicle_class_code") -> Column:
+    """The vehicle class of a ``vehicle_class_code``."""
+    code = _c(class_code)
+    expr = None
+    for i, (_, cls) in enumerate(WHEEL_CLASSES, start=1):
+        expr = F.when(code == i, cls) if expr is None else expr.when(code == i, cls)
+    return expr.otherwise(UNKNOWN_CLASS)
+
+
 def text_or_empty(c: Column | str) -> Column:
     """NULL -> '' (the source database treats '' as NULL in concatenation)."""
     return F.coalesce(_c(c).cast("string"), F.lit(""))

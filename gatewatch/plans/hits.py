@@ -16,7 +16,8 @@ Physical shape chosen here (SURVEY section 4, rewrites R1-R6, R11):
 2. The singleton count is one group-by that counts each group and carries
    ``min()`` of the other columns (a one-row group is its row): partial
    aggregation before the shuffle makes a hot group cheap, and the input is
-   read once. Paid/active follow. The candidates are checkpointed to the
+   read once. The wheel code rides as its integer class code, so the buffer
+   is fixed-width and the aggregation is hash-based. Paid/active follow. The candidates are checkpointed to the
    shared checkpoint folder (cuts lineage, survives executor loss).
 3. One job measures the candidates: count and id ranges. The camera,
    back-camera and invoice-detail tables are reduced to the candidate ids by
@@ -47,13 +48,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gatewatch.functions.columns import vehicle_class_code, vehicle_class_name
 from gatewatch.operators.broadcast import KeySet, bounded_broadcast, maybe_broadcast, measure_keys
 from gatewatch.operators.enrich import (
     back_camera_left_join,
     camera_left_join,
     province_lookup,
     source_union_distinct,
-    with_vehicle_class,
 )
 from gatewatch.operators.invoices import (
     invoice_status_left_join,
@@ -84,7 +85,7 @@ CANDIDATE_COLUMNS = (
     "vehicle_license_1",
     "vehicle_license_2",
     "vehicle_province",
-    "vehicle_wheel_code",
+    "vehicle_class_code",
 )
 
 
@@ -113,10 +114,16 @@ def named_watchlist(tables: TollTables, list_name: str, limits: HitLimits = HitL
 def hit_candidates(
     tables: TollTables, window: Window | None, watchlist: Watchlist
 ) -> DataFrame:
-    """Paid, live singleton transactions of watchlisted plates in the window."""
+    """Paid, live singleton transactions of watchlisted plates in the window.
+
+    The wheel code is only ever used through the vehicle class, a row
+    function, so it is reduced to its integer class code before the count:
+    every column the aggregation carries is then fixed-width and Spark plans
+    a hash aggregation."""
     txn = scan_gate_txn(tables, window)
     plates = maybe_broadcast(watchlist_plates(watchlist.rows), watchlist.small)
     txn = txn.join(plates, ["vehicle_license_1", "vehicle_license_2"], "left_semi")
+    txn = txn.withColumn("vehicle_class_code", vehicle_class_code()).drop("vehicle_wheel_code")
     return paid_active(singleton_groups(txn)).select(*CANDIDATE_COLUMNS)
 
 
@@ -143,7 +150,7 @@ def enrich_candidates(
     x = province_lookup(cand, tables.province_office)
     x = camera_left_join(x, tables.camera, ids=keys["transaction_id"])
     x = back_camera_left_join(x, tables.back_camera, refs=keys["ref_transaction_id"])
-    x = source_union_distinct(with_vehicle_class(x))
+    x = source_union_distinct(x.withColumn("vehicle_class", vehicle_class_name()))
     if with_invoices:
         details = materialize(reduced_details(tables, keys["transaction_id"]), limits.checkpoint_candidates)
         invoice_nos = measure_keys(details, ["_inv"], limits.candidate_rows)["_inv"]

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gatewatch.functions.columns import vehicle_class_code
 from gatewatch.operators.broadcast import maybe_broadcast
 from gatewatch.operators.transactions import SINGLETON_KEYS, paid_active
 from gatewatch.operators.watchlist import watchlist_plates
@@ -52,6 +53,7 @@ def candidate_stream(gate_stream: DataFrame, watchlist: Watchlist, delay: str) -
     plates = maybe_broadcast(watchlist_plates(watchlist.rows), watchlist.small)
     s = gate_stream.join(plates, ["vehicle_license_1", "vehicle_license_2"], "left_semi")
     s = s.where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in SINGLETON_KEYS)))
+    s = s.withColumn("vehicle_class_code", vehicle_class_code())
     # Event time must be a session-zone timestamp for the watermark.
     s = s.withColumn(EVENT_TIME, F.col("transaction_date").cast("timestamp")).withWatermark(EVENT_TIME, delay)
     group = ["mem_type", EVENT_TIME, *SINGLETON_KEYS]
