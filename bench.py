@@ -2,7 +2,7 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_RUNS (timed runs per query, default 5).
-Two warm-up rounds run every query first (JVM and code-generation warm-up
+Four warm-up rounds run every query first (JVM and code-generation warm-up
 spread over all of them), then the timed rounds interleave the queries.
 Each timing is wall-clock from building the DataFrame until ``collect()``
 returns; the reported value per query is the median of its timed runs.
@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from gatewatch.catalog import QUERIES  # noqa: E402
 from gatewatch.session import local_session  # noqa: E402
 
-WARMUP = 2
+WARMUP = 4
 HEADLINE = ("watchlist_hits", "hits_lookback", "report_day_1", "report_night")
 
 
