@@ -43,3 +43,17 @@ def test_stream_equals_batch_on_finalised_times(spark, scratch):
     latest = gate.agg(F.max("transaction_date")).first()[0]
     settled = F.col("transaction_date") <= F.lit(latest - timedelta(hours=3))
     assert key(streamed.where(settled)) == key(watchlist_hits(t, None, "ASIA").where(settled))
+
+
+def test_parquet_sink_replay_replaces_the_batch(spark, scratch):
+    from gatewatch.streaming.hits import parquet_sink
+
+    out = os.path.join(scratch, "sink")
+    write = parquet_sink(out)
+    write(spark.createDataFrame([(1,), (2,)], "transaction_id long"), 7)
+    write(spark.createDataFrame([(3,)], "transaction_id long"), 8)
+    write(spark.createDataFrame([(2,)], "transaction_id long"), 7)  # replay of batch 7
+    got = sorted((r.batch_id, r.transaction_id) for r in spark.read.parquet(out).collect())
+    assert got == [(7, 2), (8, 3)]
+    write(spark.createDataFrame([], "transaction_id long"), 7)  # an empty replay empties it
+    assert sorted(r.transaction_id for r in spark.read.parquet(out).collect()) == [3]
