@@ -36,7 +36,8 @@ def _tables(spark: SparkSession, spec: str, day_column: str | None) -> TollTable
 
 
 def _session() -> SparkSession:
-    builder = SparkSession.builder.appName("gatewatch")
+    # A batch job needs no web UI (and should open no port of its own).
+    builder = SparkSession.builder.appName("gatewatch").config("spark.ui.enabled", "false")
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
