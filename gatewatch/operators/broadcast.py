@@ -18,10 +18,11 @@ broadcast when the set is within its bound.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -58,13 +59,31 @@ class KeySet:
         return ranged.join(keys, ranged[key] == keys["_k"], "left_semi")
 
 
-def measure_keys(df: DataFrame, columns: list[str], max_rows: int) -> dict[str, KeySet]:
-    """One aggregation job: row count and min/max of each key column of ``df``
-    (meant for a checkpointed frame), as a ``KeySet`` per column."""
+def _key_aggs(columns: list[str]) -> list:
     aggs = [F.count(F.lit(1)).alias("_n")]
     for c in columns:
         aggs += [F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}")]
-    r = df.agg(*aggs).first()
+    return aggs
+
+
+def _key_sets(df: DataFrame, r, columns: list[str], max_rows: int) -> dict[str, KeySet]:
     n = r["_n"]
     log.info("key set %s: %s rows", columns, n)
     return {c: KeySet(df, c, n, r[f"_lo_{c}"], r[f"_hi_{c}"], n <= max_rows) for c in columns}
+
+
+def measure_keys(df: DataFrame, columns: list[str], max_rows: int) -> dict[str, KeySet]:
+    """One aggregation job: row count and min/max of each key column of ``df``
+    (meant for a checkpointed frame), as a ``KeySet`` per column."""
+    return _key_sets(df, df.agg(*_key_aggs(columns)).first(), columns, max_rows)
+
+
+def checkpoint_and_measure(
+    df: DataFrame, columns: list[str], max_rows: int
+) -> tuple[DataFrame, dict[str, KeySet]]:
+    """Checkpoint ``df`` (reliable, to the session's checkpoint folder) and
+    measure its key sets in the same job: the count and ranges are observed
+    metrics (``DataFrame.observe``) collected while the checkpoint is written."""
+    obs = Observation(f"keys-{uuid.uuid4().hex}")
+    ck = df.observe(obs, *_key_aggs(columns)).checkpoint(eager=True)
+    return ck, _key_sets(ck, obs.get, columns, max_rows)

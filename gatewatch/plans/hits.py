@@ -19,7 +19,8 @@ Physical shape chosen here (SURVEY section 4, rewrites R1-R6, R11):
    read once. The wheel code rides as its integer class code, so the buffer
    is fixed-width and the aggregation is hash-based. Paid/active follow. The candidates are checkpointed to the
    shared checkpoint folder (cuts lineage, survives executor loss).
-3. One job measures the candidates: count and id ranges. The camera,
+3. The checkpoint job also measures the candidates (observed metrics):
+   count and id ranges. The camera,
    back-camera and invoice-detail tables are reduced to the candidate ids by
    a range predicate pushed to their scans (row groups and files outside the
    range are skipped) and a left semi join, broadcast when the count is within
@@ -49,7 +50,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.functions.columns import vehicle_class_code, vehicle_class_name
-from gatewatch.operators.broadcast import KeySet, bounded_broadcast, maybe_broadcast, measure_keys
+from gatewatch.operators.broadcast import (
+    KeySet,
+    bounded_broadcast,
+    checkpoint_and_measure,
+    maybe_broadcast,
+    measure_keys,
+)
 from gatewatch.operators.enrich import (
     back_camera_left_join,
     camera_left_join,
@@ -127,9 +134,22 @@ def hit_candidates(
     return paid_active(singleton_groups(txn)).select(*CANDIDATE_COLUMNS)
 
 
+CANDIDATE_KEYS = ["transaction_id", "ref_transaction_id"]
+
+
 def measure_candidates(cand: DataFrame, limits: HitLimits) -> dict[str, KeySet]:
     """Count and key ranges of the (checkpointed) candidates, one job."""
-    return measure_keys(cand, ["transaction_id", "ref_transaction_id"], limits.candidate_rows)
+    return measure_keys(cand, CANDIDATE_KEYS, limits.candidate_rows)
+
+
+def materialize_and_measure(
+    df: DataFrame, columns: list[str], limits: HitLimits
+) -> tuple[DataFrame, dict[str, KeySet]]:
+    """Checkpoint and measure in one job; without checkpointing, measure only."""
+    if limits.checkpoint_candidates:
+        ensure_checkpoint_dir(df.sparkSession)
+        return checkpoint_and_measure(df, columns, limits.candidate_rows)
+    return df, measure_keys(df, columns, limits.candidate_rows)
 
 
 def enrich_candidates(
@@ -152,8 +172,10 @@ def enrich_candidates(
     x = back_camera_left_join(x, tables.back_camera, refs=keys["ref_transaction_id"])
     x = source_union_distinct(x.withColumn("vehicle_class", vehicle_class_name()))
     if with_invoices:
-        details = materialize(reduced_details(tables, keys["transaction_id"]), limits.checkpoint_candidates)
-        invoice_nos = measure_keys(details, ["_inv"], limits.candidate_rows)["_inv"]
+        details, detail_keys = materialize_and_measure(
+            reduced_details(tables, keys["transaction_id"]), ["_inv"], limits
+        )
+        invoice_nos = detail_keys["_inv"]
         x = invoice_status_left_join(x, invoices_for_details(tables, details, invoice_nos))
     else:
         x = x.withColumn("status", F.lit(None).cast("string")).withColumn(
@@ -210,8 +232,7 @@ def compute_hits(
 ) -> Hits:
     """``watchlist_hits`` with the measured candidate bound kept."""
     watchlist = named_watchlist(tables, list_name, limits)
-    cand = materialize(hit_candidates(tables, window, watchlist), limits.checkpoint_candidates)
-    keys = measure_candidates(cand, limits)
+    cand, keys = materialize_and_measure(hit_candidates(tables, window, watchlist), CANDIDATE_KEYS, limits)
     rows = enrich_candidates(tables, cand, keys, watchlist, with_invoices, limits)
     return Hits(rows, keys["transaction_id"].count, limits)
 

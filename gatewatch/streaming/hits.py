@@ -35,11 +35,11 @@ from gatewatch.operators.transactions import SINGLETON_KEYS, paid_active
 from gatewatch.operators.watchlist import watchlist_plates
 from gatewatch.plans.hits import (
     CANDIDATE_COLUMNS,
+    CANDIDATE_KEYS,
     HitLimits,
     Watchlist,
     enrich_candidates,
-    materialize,
-    measure_candidates,
+    materialize_and_measure,
     named_watchlist,
 )
 from gatewatch.sources.tables import TollTables
@@ -73,8 +73,7 @@ def hits_batch_processor(
     The batch is checkpointed and measured like the batch job's candidates."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        cand = materialize(batch, limits.checkpoint_candidates)
-        keys = measure_candidates(cand, limits)
+        cand, keys = materialize_and_measure(batch, CANDIDATE_KEYS, limits)
         sink(enrich_candidates(tables, cand, keys, watchlist, with_invoices, limits), batch_id)
 
     return process
