@@ -90,8 +90,9 @@ def measures(docs: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> D
     again = F.filter("__g", lambda x, i: same(x, F.get("__g", i - 1)) | same(x, F.get("__g", i + 1)))
     d = d.withColumn("__p", F.transform(again, lambda x: x["i"]))
     covered = F.concat("__p", F.transform("__p", lambda p: p + 1), F.transform("__p", lambda p: p + 2))
-    d = d.select(
-        "__k",
+    # The measures leave through a generator: a filter on them must not be
+    # pushed into the projections above, where every step would be repeated.
+    measured = F.struct(
         "n_words",
         "word_chars",
         "n_symbols",
@@ -100,6 +101,7 @@ def measures(docs: DataFrame, text: str = "text", keep: Sequence[str] = ()) -> D
         F.when(F.col("__p").isNull(), 0).otherwise(F.size(F.array_distinct(covered))).cast("long").alias("n_repeat_words"),
         "n_stop_words",
     )
+    d = d.select("__k", F.inline(F.array(measured)))
     return d.select(*([f"__k.`{c}`" for c in keep]), *MEASURES)
 
 
