@@ -9,10 +9,11 @@ pass a size filter and are then expanded to their members and verified on the
 whole sets.
 
 The result needs the components, not all pairs, so a bucket of m members
-never makes m * m pairs: members are first verified against one pivot per
-bucket; only members of a bucket that are then still in different components
-are paired and verified in a second pass. A link is thereby either verified or
-lies within a component already, so none is lost.
+never makes m * m pairs: each group is first verified against one pivot, of the
+pivots of its buckets the one met most often; only members of a bucket that are
+then still in different components are paired and verified in a second pass. A
+link is thereby either verified or lies within a component already, so none is
+lost.
 """
 
 from __future__ import annotations
@@ -70,14 +71,14 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     order = counts.astype(np.uint64)
     # A shingle whose bucket sticks out may be in very many documents: spread.
     spread = (1 + np.maximum(0, counts - 2 * int(counts.mean())) // HOT).astype(np.int64)
-    schema = "doc_id long, row long, n long, a long, b long, grp long, prefix array<struct<token:long,salt:int>>"
-    token = pa.struct([("token", pa.int64()), ("salt", pa.int32())])
+    schema = "doc_id long, row long, n long, a long, b long, grp long, prefix array<struct<token:long,of:long>>"
+    token = [pa.field("token", pa.int64()), pa.field("of", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = batch.column("doc_id"), batch.column("row")
             for lo, hi, data, offsets in slabs(batch.column("text")):
-                sizes, firsts, seconds, groups, tokens, salts = [], [], [], [], [], []
+                sizes, firsts, seconds, groups, tokens, wide, heads = [], [], [], [], [], [], []
                 for s in shingle_sets(data, offsets):
                     n = len(s)
                     a, b = _digests(s)
@@ -86,9 +87,14 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                     head = s[np.lexsort((s, rank))[:p]]
                     group = np.array(_digests(head)[0] * 31 + n & (1 << 64) - 1, np.uint64).view(np.int64)
                     sizes.append(n), firsts.append(a), seconds.append(b), groups.append(int(group))
-                    tokens.append(head.view(np.int64))
-                    salts.append((abs(int(group)) % spread[head & np.uint64(BUCKETS - 1)]).astype(np.int32))
-                flat = pa.StructArray.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(salts))], fields=list(token))
+                    parts = spread[head & np.uint64(BUCKETS - 1)]
+                    piece = (abs(int(group)) % parts).astype(np.uint64)
+                    # Piece 0 keeps the shingle's hash, the others get their own.
+                    tokens.append(np.where(piece > 0, mix(head + piece * np.uint64(0x9E3779B97F4A7C15)), head).view(np.int64))
+                    wide.append(parts > 1)
+                    heads.append(head.view(np.int64))
+                of = pa.array(np.concatenate(heads), mask=~np.concatenate(wide))
+                flat = pa.StructArray.from_arrays([pa.array(np.concatenate(tokens)), of], fields=token)
                 starts = pa.array(np.cumsum([0, *map(len, tokens)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(lo, hi - lo), keys.slice(lo, hi - lo), *(pa.array(x, pa.int64()) for x in (sizes, firsts, seconds, groups)), pa.ListArray.from_arrays(starts, flat)],
@@ -118,7 +124,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     stars = staged(stars, "join-stars")
     others = stars.select("pivot", "piece", F.col("other").alias("node"))
     heads = stars.select("pivot", "piece", F.col("pivot").alias("node")).distinct()
-    rows = others.union(heads).join(sets, "node")
+    rows = staged(others.union(heads), "join-places")
+    rows = sets.join(sized(rows), "node")
 
     def similar(left: np.ndarray, right: np.ndarray) -> bool:
         both = len(np.intersect1d(left, right, assume_unique=True))
@@ -161,23 +168,27 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     )
 
     # Groups (equal prefix and size), each with one node that stands for it.
-    groups = staged(nodes.groupBy("grp").agg(F.min_by("row", "node").alias("row"), F.min("node").alias("head"), F.count("*").alias("members")), "join-groups")
+    groups = staged(
+        nodes.groupBy("grp").agg(F.min_by("row", "node").alias("row"), F.min("node").alias("head"), F.first("n").alias("n"), F.count("*").alias("members")),
+        "join-groups",
+    )
     prefix = rows.where("n > 0").join(sized(groups.select("grp", "row")), ["grp", "row"], "left_semi")
-    prefix = prefix.select("grp", "n", "prefix").dropDuplicates(["grp"]) if _repeated(slim) else prefix.select("grp", "n", "prefix")
-    entries = prefix.select("grp", "n", F.inline("prefix")).repartition("token", "salt")
-    pivots = entries.groupBy("token", "salt").agg(F.min(F.struct("n", "grp")).alias("p"), F.count("*").alias("m"))
+    prefix = prefix.select("grp", "prefix")
+    prefix = prefix.dropDuplicates(["grp"]) if _repeated(slim) else prefix
+    entries = prefix.select("grp", F.inline("prefix")).repartition("token")
+    pivots = entries.groupBy("token").agg(F.min("grp").alias("p"), F.count("*").alias("m"), F.max("of").alias("o"))
     # Buckets of one group are done, unless the shingle is spread over several.
-    shared = entries.join(pivots.where("m > 1 OR salt > 0"), ["token", "salt"]).select("token", "salt", "grp", "n", "p")
+    shared = entries.join(pivots.where("m > 1 OR o IS NOT NULL").drop("o"), "token").select("token", "of", "grp", "p")
     shared = staged(shared, "join-shared")
 
-    fits = lambda small, large: F.col(small) * 100 >= F.col(large) * percent
-    star = shared.select(F.col("p.grp").alias("g"), F.col("p.n").alias("gn"), F.col("grp").alias("h"), F.col("n").alias("hn"))
-    pieces = shared.where("salt > 0").select("token", "p").distinct()
-    whole = shared.groupBy("token").agg(F.min("p").alias("w")).join(pieces, "token")
-    star = star.union(whole.select("w.grp", "w.n", "p.grp", "p.n"))
-    star = star.where((F.col("g") != F.col("h")) & fits("gn", "hn")).select("g", "h").distinct()
-    heads = groups.select("grp", "head")
-    pairs = star.join(heads.toDF("g", "pivot"), "g").join(heads.toDF("h", "other"), "h").select("pivot", "other")
+    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    pieces = shared.where("of IS NOT NULL").select("of", "p").distinct()
+    whole = pieces.groupBy("of").agg(F.min("p").alias("g")).join(pieces, "of").select("g", F.col("p").alias("h"))
+    star = shared.select(F.col("p").alias("g"), F.col("grp").alias("h")).union(whole).where("g != h")
+    star = star.groupBy("g", "h").agg(F.count("*").alias("m"))
+    known = lambda side: groups.select(F.col("grp").alias(side), F.col("head").alias(f"{side}_head"), F.col("n").alias(f"{side}_n"))
+    star = star.join(known("g"), "g").join(known("h"), "h").where(fits("g_n", "h_n"))
+    pairs = star.groupBy("h").agg(F.max_by(F.struct(F.col("g_head").alias("pivot"), F.col("h_head").alias("other")), F.struct("m", "g")).alias("best")).select("best.*")
     inner = nodes.join(groups.where("members > 1").select("grp", "head"), "grp").select(F.col("head").alias("pivot"), F.col("node").alias("other"))
     pairs = staged(pairs.union(inner).where("pivot != other").distinct(), "join-pairs")
 
@@ -195,16 +206,23 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(label, df["node"] == label["u"], "left").withColumn("comp", F.coalesce("root", "node")).drop("u", "root")
 
-    members = staged(labelled(nodes.select("grp", "node", "n")), "join-members")
-    slots = shared.select("token", "grp").join(members, "grp").select("token", "node", "n", "comp")
-    slots = slots.union(members.join(groups.where("members > 1").select("grp"), "grp").select(F.col("grp").alias("token"), "node", "n", "comp"))
-    open_ = slots.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    slots = staged(slots.join(open_, "token"), "join-open")
+    members = staged(labelled(nodes.select("grp", "node", "n")).withColumn("c", F.xxhash64("comp")), "join-members")
+    held = staged(members.groupBy("grp").agg(F.min("c").alias("lo"), F.max("c").alias("hi")), "join-held")
+    key = F.coalesce("of", "token").alias("token")
+    open_ = shared.join(sized(held), "grp").groupBy(key).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("token")
+    open_ = staged(open_, "join-tokens")
+    slots = keep_where(shared.select(key, "grp"), open_, ["token"]).join(members, "grp").select("token", "node", "n", "comp")
+    slots = slots.union(members.join(held.where("lo < hi").select("grp"), "grp").select(F.col("grp").alias("token"), "node", "n", "comp"))
+    slots = staged(slots, "join-open")
     x, y = slots.toDF("token", "pivot", "xn", "xc"), slots.toDF("token", "other", "yn", "yc")
-    rest = x.join(y, "token").where(
-        (F.col("xc") != F.col("yc")) & fits("xn", "yn") & ((F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("pivot") < F.col("other"))))
-    )
-    rest = rest.select("pivot", "other").distinct().join(pairs, ["pivot", "other"], "left_anti")
+    ahead = (F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("pivot") < F.col("other")))
+    rest = x.join(y, "token").where((F.col("xc") != F.col("yc")) & ahead & fits("xn", "yn"))
+    # Of two prefixes that share m shingles, the sets share at most m plus what
+    # lies beyond the prefix of one of them.
+    beyond = F.ceil(F.greatest("xn", "yn") * percent / 100) - 1
+    needed = F.ceil((F.col("xn") + F.col("yn")) * percent / (100 + percent))
+    rest = rest.groupBy("pivot", "other", "xn", "yn").agg(F.count("*").alias("m")).where(F.col("m") + beyond >= needed)
+    rest = rest.select("pivot", "other").join(pairs, ["pivot", "other"], "left_anti")
     rest = staged(rest.join(pairs.select(F.col("pivot").alias("other"), F.col("other").alias("pivot")), ["pivot", "other"], "left_anti"), "join-rest")
     if not rest.isEmpty():
         more = verified(rest, "b")

@@ -37,8 +37,8 @@ from gatewatch.llm.words import mix, powers, prefix_hash, slabs
 LENGTH = 400
 GRAM = 64
 HOT = 4_000
-BLOCK = 20_000  # contexts sorted at once in a task
-PIECE = 4 << 20  # bytes of a long text handled at once
+BLOCK = 10_000  # contexts sorted at once in a task
+PIECE = 1 << 20  # bytes of a long text handled at once
 _BITS = np.uint64(24)
 _MASK = np.uint64((1 << 24) - 1)
 

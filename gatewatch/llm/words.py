@@ -21,7 +21,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SHINGLE = 5
 
 # Bytes handled at once inside a task: bounds the numpy temporaries.
-SLAB_BYTES = 4 << 20
+SLAB_BYTES = 1 << 20
 
 
 def words(text: Column | str) -> Column:
