@@ -82,7 +82,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     def missing() -> list:
         day = spark.createDataFrame([(args.date,)], "run_date date")
         expected = expected_reports(day, args.list_name).where(f"slot = '{s.name}'")
-        return missing_reports(expected, store.runs()).collect()
+        return missing_reports(expected, store.runs(), args.list_name).collect()
 
     gone = missing()
     if gone and args.rerun:

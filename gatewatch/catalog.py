@@ -1,6 +1,7 @@
 """Registered queries over the fixture views: one per operator or job of the
-inventory (SURVEY section 2). Each takes (spark, sf_dir) and returns a lazy
-DataFrame over the whole driver tables.
+inventory (SURVEY section 2). Each takes (spark, sf_dir) and returns a
+DataFrame over the whole driver tables. The hit and report queries count and
+checkpoint their candidates while the DataFrame is built; the others are lazy.
 
 Standard parameters (FIXTURES.md): list ``ASIA``, run date 2024-01-12.
 """
@@ -31,13 +32,13 @@ from gatewatch.operators.transactions import (
     singleton_groups,
 )
 from gatewatch.operators.watchlist import WATCHLIST_COLUMNS, watchlist_like_join, watchlist_type_filter
-from gatewatch.plans.completeness import expected_reports
+from gatewatch.plans.completeness import expected_reports, missing_reports
 from gatewatch.plans.hits import compute_hits, watchlist_hits
-from gatewatch.plans.pictures import picture_names
+from gatewatch.plans.pictures import picture_names, picture_table
 from gatewatch.plans.reports import report_columns, report_width_profile
-from gatewatch.plans.slots import excluded_reports, slot_window, slot_windows, transaction_days
+from gatewatch.plans.slots import excluded_reports, slot_window, slot_windows, calendar_days
 from gatewatch.schemas import GATE_TXN, SOURCE_ROW_COLUMNS
-from gatewatch.sources.fixtures import fixture_tables
+from gatewatch.sources.fixtures import fixture_tables, stored_ids, stored_pictures, stored_runs
 from gatewatch.sources.tables import TollTables, Window
 
 LIST_NAME = "ASIA"
@@ -154,7 +155,7 @@ def q_hits_overnight(spark, sf_dir):
 
 
 def _run_days(t: TollTables) -> DataFrame:
-    return transaction_days(_gate(t))
+    return calendar_days(_gate(t))
 
 
 def q_slot_windows(spark, sf_dir):
@@ -211,7 +212,31 @@ def q_expected_reports(spark, sf_dir):
     return expected_reports(_run_days(_tables(spark, sf_dir)), LIST_NAME)
 
 
+def q_rollback_left_join(spark, sf_dir):
+    # The join alone: a plate with several rollback rows gives several rows.
+    t = _tables(spark, sf_dir)
+    return rollback_left_join(_gate(t), t.invoice_rollback).select(*GATE_COLUMNS)
+
+
+def q_missing_reports(spark, sf_dir):
+    expected = expected_reports(_run_days(_tables(spark, sf_dir)), LIST_NAME)
+    return missing_reports(expected, stored_runs(spark, sf_dir), LIST_NAME)
+
+
+def q_fresh_against_stored(spark, sf_dir):
+    hits = watchlist_hits(_tables(spark, sf_dir), LOOKBACK, LIST_NAME)
+    return exclude_ids(hits, stored_ids(spark, sf_dir))
+
+
+def q_picture_scale(spark, sf_dir):
+    return picture_table(picture_names(_tables(spark, sf_dir).watchlist_master), stored_pictures(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
+    "rollback_left_join": q_rollback_left_join,
+    "missing_reports": q_missing_reports,
+    "fresh_against_stored": q_fresh_against_stored,
+    "picture_scale": q_picture_scale,
     "scan_gate_txn": q_scan_gate_txn,
     "filter_window_inclusive": q_filter_window_inclusive,
     "paid_active_txn": q_paid_active_txn,

@@ -88,11 +88,6 @@ def url_or_empty(path: Column | str, prefix: str) -> Column:
     return F.when(p != "", F.concat(F.lit(prefix), p, F.lit("?key="))).otherwise(F.lit(""))
 
 
-def strip_prefix(key: Column | str, prefix: str) -> Column:
-    """Remove every occurrence of ``prefix`` from an object key (FN10)."""
-    return F.replace(_c(key), F.lit(prefix), F.lit(""))
-
-
 def safe_ratio(numerator: float, denominator: Column | str) -> Column:
     """``numerator / denominator`` as double, NULL for a zero or NULL denominator (FN11)."""
     return F.lit(float(numerator)) / F.nullif(_c(denominator).cast("double"), F.lit(0.0))
@@ -101,11 +96,9 @@ def safe_ratio(numerator: float, denominator: Column | str) -> Column:
 def timestamp_text(ts: Column | str) -> Column:
     """Timestamp as ``YYYY-MM-DD HH:MM:SS`` (``.ffffff`` appended when the
     fraction is non-zero), the way a Python timestamp prints (FN7)."""
-    t = _c(ts)
-    whole = F.date_format(t, "yyyy-MM-dd HH:mm:ss")
-    return F.when(F.date_trunc("second", t) == t.cast("timestamp"), whole).otherwise(
-        F.date_format(t, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    )
+    t = _c(ts).cast("string")  # no zone is involved for a TIMESTAMP_NTZ
+    fraction = F.substring_index(t, ".", -1)
+    return F.when(F.contains(t, F.lit(".")), F.concat(F.substring(t, 1, 20), F.rpad(fraction, 6, "0"))).otherwise(t)
 
 
 def display_length(c: Column | str, null_text: str = "None") -> Column:

@@ -1,16 +1,14 @@
 """Oracle SQL for the correctness check: DuckDB text over the driver tables.
 
-The fixture views (FIXTURES.md section 1) are written once as SQL here; the
-queries keep the source's literal shape (GROUP BY/HAVING self-join, per-kind
-branches with UNION, the dead rollback join, LEFT JOIN + WHERE on the list
-name, ROW_NUMBER) so the check also verifies the DataFrame rewrites.
-Test infrastructure only: the library never builds SQL text.
+The fixture views (FIXTURES.md section 1) are written once as SQL here. The
+queries are built from named steps of their own (see ``STEPS``) and spell out
+every constant, so a wrong slot, exclusion or tie-break in the engine shows as
+a mismatch. Test infrastructure only: nothing is imported from the engine, and
+the library never builds SQL text.
 """
 
 from __future__ import annotations
 
-from gatewatch.operators.watchlist import TIE_BREAK
-
 FIXTURE_VIEWS = {
     "province_office": "SELECT CAST(n_nationkey AS INTEGER) AS code, n_name AS description FROM nation",
     "back_camera": (
@@ -69,138 +67,123 @@ _KIND_PRED = {
     "nonmember": "event_type IN ('view', 'signup')",
     "illegal": "event_type = 'error'",
 }
+FIXTURE_VIEWS["report_runs"] = (
+    "SELECT DISTINCT CASE WHEN user_id % 2 = 0 THEN 'ASIA' ELSE 'OTHER' END AS list_name, CAST(ts AS DATE) AS report_date, "
+    "CASE event_type WHEN 'click' THEN 'DAY-1' WHEN 'purchase' THEN 'DAY' WHEN 'view' THEN 'AFTERNOON' ELSE 'NIGHT' END AS slot "
+    "FROM events WHERE event_id % 23 = 0"
+)
+FIXTURE_VIEWS["stored_ids"] = "SELECT event_id AS transaction_id FROM events WHERE event_id % 5 = 0"
+FIXTURE_VIEWS["stored_pictures"] = (
+    "SELECT concat(kind, '/', CAST(c_custkey AS VARCHAR), '.png') AS key, CAST(c_custkey % 700 AS INTEGER) AS width, "
+    "CAST(c_custkey % 400 AS INTEGER) AS height FROM customer, (VALUES ('body'), ('plate'), ('back')) k(kind) WHERE c_custkey % 7 <> 0"
+)
 for _k, _p in _KIND_PRED.items():
     FIXTURE_VIEWS[f"{_k}_txn"] = _TXN.format(pred=_p)
     FIXTURE_VIEWS[f"{_k}_camera"] = _CAM.format(pred=_p)
 
-# (view prefix, MEM_TYPE tag) of the three branches.
-KINDS = (("member", "MEMBER"), ("nonmember", "NON-MEMBER"), ("illegal", "ILLIGAL"))
 
 ALL_VIEWS = tuple(FIXTURE_VIEWS)
-
-
-def with_views(body: str, views=ALL_VIEWS) -> str:
-    ctes = ",\n".join(f"{name} AS ({FIXTURE_VIEWS[name]})" for name in views)
-    return f"WITH {ctes}\n{body}"
-
-
-def ts(value: str) -> str:
-    return f"TIMESTAMP '{value}'"
-
-
-VEHICLE_CLASS_SQL = (
-    "CASE WHEN a.vehicle_wheel_code = 'VWHEL0001' THEN 'C1' WHEN a.vehicle_wheel_code = 'VWHEL0002' THEN 'C2' "
-    "WHEN a.vehicle_wheel_code = 'VWHEL0003' THEN 'C3' ELSE 'Unknown' END"
+LIST = "ASIA"
+RUN = "2024-01-12"
+PREFIX = "https://pictures.invalid/download/"
+WHEEL = (
+    "CASE vehicle_wheel_code WHEN 'VWHEL0001' THEN 'C1' WHEN 'VWHEL0002' THEN 'C2' WHEN 'VWHEL0003' THEN 'C3' "
+    "ELSE 'Unknown' END"
 )
-
-
-def branch_sql(kind: str, tag: str, lo: str | None, hi: str | None) -> str:
-    """One branch of the source's inner UNION, literal shape."""
-    win_inner = f"WHERE mnt.transaction_date BETWEEN {ts(lo)} AND {ts(hi)}" if lo else ""
-    win_outer = f"a.transaction_date BETWEEN {ts(lo)} AND {ts(hi)} AND " if lo else ""
-    return f"""SELECT a.transaction_id, a.transaction_date, a.ref_transaction_id, a.vehicle_license_1, a.vehicle_license_2,
-       b.description, {VEHICLE_CLASS_SQL} AS vehicle_class, '{tag}' AS mem_type,
-       c.body_path_pic, c.plate_path_pic, back.back_path_pic
-FROM (SELECT transaction_date, vehicle_license_1, vehicle_license_2, vehicle_province, count(*)
-      FROM {kind}_txn mnt {win_inner}
-      GROUP BY transaction_date, vehicle_license_1, vehicle_license_2, vehicle_province
-      HAVING count(*) = 1) non1
-JOIN {kind}_txn a ON a.transaction_date = non1.transaction_date AND a.vehicle_license_1 = non1.vehicle_license_1
-     AND a.vehicle_license_2 = non1.vehicle_license_2 AND a.vehicle_province = non1.vehicle_province
-JOIN province_office b ON a.vehicle_province = b.code
-LEFT JOIN {kind}_camera c ON a.transaction_id = c.transaction_id
-LEFT JOIN invoice_rollback e ON a.vehicle_license_1 = e.plate1 AND a.vehicle_license_2 = e.plate2 AND a.vehicle_province = e.province
-LEFT JOIN back_camera back ON a.ref_transaction_id = back.ref_transaction_id AND back.delete_flag = 0
-WHERE {win_outer}a.fee_amount > 0 AND a.delete_flag = 0"""
-
-
-def source_rows_sql(lo: str | None, hi: str | None) -> str:
-    return "\nUNION\n".join(branch_sql(k, t, lo, hi) for k, t in KINDS)
-
-
-INVOICES_SQL = """SELECT a.status, b.create_channel, b.transaction_id FROM member_invoice a JOIN member_invoice_detail b ON a.invoice_no = b.invoice_no
-UNION
-SELECT a.status, b.create_channel, b.transaction_id FROM nonmember_invoice a JOIN nonmember_invoice_detail b ON a.invoice_no = b.invoice_no"""
-
-# Which relation of the hit query each tie-break column comes from.
-_INVOICE_SIDE = {"status", "create_channel"}
-_WATCHLIST_SIDE = {
-    "model", "color", "img_body", "img_plate", "img_back", "plate1_origin", "plate2_origin", "province_origin",
+GATE = (
+    "mem_type, transaction_id, transaction_date, ref_transaction_id, vehicle_license_1, vehicle_license_2, "
+    "vehicle_province, vehicle_wheel_code, fee_amount, delete_flag"
+)
+SOURCE = (
+    "transaction_id, transaction_date, ref_transaction_id, vehicle_license_1, vehicle_license_2, description, "
+    "vehicle_class, mem_type, body_path_pic, plate_path_pic, back_path_pic"
+)
+MATCH = "img_body, img_plate, img_back, plate1_origin, plate2_origin, province_origin, model, color"
+# Who comes first among the hits of one vehicle at one time; NULLs last.
+FIRST = (
+    "transaction_id, status, create_channel, model, color, img_body, img_plate, img_back, plate1_origin, plate2_origin, "
+    "province_origin, body_path_pic, plate_path_pic, back_path_pic, mem_type, vehicle_class, ref_transaction_id, "
+    "vehicle_license_1, vehicle_license_2"
+)
+# slot, code, first day before the run date, last hour, folder, suffix
+SLOT_ROWS = (
+    "('DAY-1', 'C', 2, 8, 'ASIA_1_Day_Ago', '-Day-1'), ('DAY', 'A', 0, 11, 'ASIA', '_Day'), "
+    "('AFTERNOON', 'D', 0, 14, 'ASIA', '_Afternoon'), ('NIGHT', 'B', 0, 16, 'ASIA', '_Night')"
+)
+# Windows on the run date 2024-01-12, and what each report leaves out: the
+# windows of the reports that came before it.
+WINDOWS = {
+    "DAY-1": ("2024-01-10 00:00:00", "2024-01-12 08:00:00"),
+    "DAY": ("2024-01-12 00:00:00", "2024-01-12 11:00:00"),
+    "AFTERNOON": ("2024-01-12 00:00:00", "2024-01-12 14:00:00"),
+    "NIGHT": ("2024-01-12 00:00:00", "2024-01-12 16:00:00"),
 }
+BEFORE = {
+    "DAY-1": (
+        ("2024-01-08 00:00:00", "2024-01-10 08:00:00"),
+        ("2024-01-10 00:00:00", "2024-01-10 16:00:00"),
+        ("2024-01-09 00:00:00", "2024-01-11 08:00:00"),
+        ("2024-01-11 00:00:00", "2024-01-11 16:00:00"),
+    ),
+    "DAY": (WINDOWS["DAY-1"],),
+    "AFTERNOON": (WINDOWS["DAY"], WINDOWS["DAY-1"]),
+    "NIGHT": (WINDOWS["DAY-1"], WINDOWS["DAY"], WINDOWS["AFTERNOON"]),
+}
+OVERNIGHT = ("2024-01-11 17:00:00", "2024-01-12 11:00:00")
+HEADER_LENGTHS = {
+    "transaction_id": 14, "transaction_time": 6, "plate": 11, "province": 7, "vehicle_class": 11, "user_type": 17, "correct_plate": 22,
+}
+
+
+def _steps(lo: str | None = None, hi: str | None = None) -> dict[str, str]:
+    """The steps of the hit query, in order; each may use the ones before."""
+    inside = f"transaction_date BETWEEN TIMESTAMP '{lo}' AND TIMESTAMP '{hi}'" if lo else "TRUE"
+    group = "mem_type, transaction_date, vehicle_license_1, vehicle_license_2, vehicle_province"
+    return {
+        "gate": "SELECT 'MEMBER' AS mem_type, * FROM member_txn UNION ALL SELECT 'NON-MEMBER', * FROM nonmember_txn "
+        "UNION ALL SELECT 'ILLIGAL', * FROM illegal_txn",
+        "cameras": "SELECT 'MEMBER' AS mem_type, * FROM member_camera UNION ALL SELECT 'NON-MEMBER', * FROM nonmember_camera "
+        "UNION ALL SELECT 'ILLIGAL', * FROM illegal_camera",
+        "alone": f"SELECT * FROM gate WHERE {inside} AND vehicle_license_1 IS NOT NULL AND vehicle_license_2 IS NOT NULL "
+        f"AND vehicle_province IS NOT NULL AND transaction_date IS NOT NULL QUALIFY count(*) OVER (PARTITION BY {group}) = 1",
+        "rear": "SELECT ref_transaction_id, back_path_pic FROM back_camera WHERE delete_flag = 0",
+        "source": f"SELECT DISTINCT {SOURCE} FROM (SELECT *, {WHEEL} AS vehicle_class FROM alone WHERE fee_amount > 0 AND delete_flag = 0) "
+        "JOIN (SELECT code AS vehicle_province, description FROM province_office) USING (vehicle_province) "
+        "LEFT JOIN cameras USING (mem_type, transaction_id) LEFT JOIN rear USING (ref_transaction_id)",
+        "bills": "SELECT DISTINCT status, create_channel, transaction_id FROM ("
+        "SELECT * FROM member_invoice JOIN member_invoice_detail USING (invoice_no) UNION ALL "
+        "SELECT * FROM nonmember_invoice JOIN nonmember_invoice_detail USING (invoice_no))",
+        "listed": f"SELECT * FROM watchlist_master WHERE list_type IN (SELECT id FROM watchlist_type WHERE list_name = '{LIST}')",
+    }
 
 
-def _qualified(c: str) -> str:
-    return ("y" if c in _INVOICE_SIDE else "d" if c in _WATCHLIST_SIDE else "x") + "." + c
-
-
-ORDER_SQL = ", ".join(f"{_qualified(c)} ASC NULLS LAST" for c in TIE_BREAK)
-
-
-def hits_sql_body(lo: str | None, hi: str | None, list_name: str) -> str:
-    """The full hit query (22 columns), literal shape."""
-    return f"""SELECT * FROM (
-  SELECT x.*, d.img_body, d.img_plate, d.img_back, d.plate1_origin, d.plate2_origin, d.province_origin,
-         y.status, y.create_channel, d.model, d.color,
-         CAST(ROW_NUMBER() OVER (PARTITION BY x.transaction_date,
-              coalesce(x.vehicle_license_1, '') || ' ' || coalesce(x.vehicle_license_2, ''), x.description
-              ORDER BY {ORDER_SQL}) AS BIGINT) AS rn
-  FROM ({source_rows_sql(lo, hi)}) x
-  LEFT JOIN ({INVOICES_SQL}) y ON x.transaction_id = y.transaction_id
-  JOIN watchlist_master d ON d.plate1 = x.vehicle_license_1 AND d.plate2 = x.vehicle_license_2 AND x.description LIKE d.province
-  LEFT JOIN watchlist_type e ON d.list_type = e.id
-  WHERE e.list_name = '{list_name}'
-) h WHERE rn = 1"""
-
-
-def hits_sql(lo: str | None, hi: str | None, list_name: str) -> str:
-    return with_views(hits_sql_body(lo, hi, list_name))
-
-
-# ---------------------------------------------------------------------------
-# Oracle SQL per registered query.
-
-def _gate_branch(kind: str, tag: str, where: str = "") -> str:
+def _matched(entries: str) -> str:
     return (
-        f"SELECT '{tag}' AS mem_type, transaction_id, transaction_date, ref_transaction_id, vehicle_license_1, "
-        f"vehicle_license_2, vehicle_province, vehicle_wheel_code, fee_amount, delete_flag FROM {kind}_txn {where}"
+        f"SELECT s.*, {MATCH} FROM source s, {entries} w WHERE w.plate1 = s.vehicle_license_1 "
+        "AND w.plate2 = s.vehicle_license_2 AND s.description LIKE w.province"
     )
 
 
-def gate_sql(where: str = "") -> str:
-    return "\nUNION ALL\n".join(_gate_branch(k, t, where) for k, t in KINDS)
-
-
-def window_pred(lo: str, hi: str, col: str = "transaction_date") -> str:
-    return f"{col} BETWEEN {ts(lo)} AND {ts(hi)}"
-
-
-def singleton_sql() -> str:
-    parts = []
-    for kind, tag in KINDS:
-        parts.append(
-            f"""SELECT '{tag}' AS mem_type, a.* FROM
-  (SELECT transaction_date, vehicle_license_1, vehicle_license_2, vehicle_province, count(*)
-   FROM {kind}_txn GROUP BY transaction_date, vehicle_license_1, vehicle_license_2, vehicle_province
-   HAVING count(*) = 1) non1
-  JOIN {kind}_txn a ON a.transaction_date = non1.transaction_date AND a.vehicle_license_1 = non1.vehicle_license_1
-   AND a.vehicle_license_2 = non1.vehicle_license_2 AND a.vehicle_province = non1.vehicle_province"""
-        )
-    return "\nUNION ALL\n".join(parts)
-
-
-def camera_join_sql() -> str:
-    parts = []
-    for kind, tag in KINDS:
-        parts.append(
-            f"SELECT '{tag}' AS mem_type, a.*, c.body_path_pic, c.plate_path_pic FROM {kind}_txn a "
-            f"LEFT JOIN {kind}_camera c ON a.transaction_id = c.transaction_id"
-        )
-    return "\nUNION ALL\n".join(parts)
+def hits_sql_body(lo: str | None, hi: str | None, list_name: str = LIST) -> str:
+    """The hits of a window (22 columns), as a query of its own."""
+    steps = _steps(lo, hi)
+    steps["listed"] = steps["listed"].replace(f"'{LIST}'", f"'{list_name}'")
+    steps["matched"] = _matched("listed")
+    first = ", ".join(f"{c.strip()} NULLS LAST" for c in FIRST.split(","))
+    return (
+        "WITH " + ", ".join(f"{k} AS ({v})" for k, v in steps.items()) + f" SELECT {SOURCE}, img_body, img_plate, img_back, "
+        "plate1_origin, plate2_origin, province_origin, status, create_channel, model, color, CAST(1 AS BIGINT) AS rn "
+        "FROM matched LEFT JOIN bills USING (transaction_id) QUALIFY row_number() OVER (PARTITION BY transaction_date, "
+        f"coalesce(vehicle_license_1, '') || ' ' || coalesce(vehicle_license_2, ''), description ORDER BY {first}) = 1"
+    )
 
 
-WATCHLIST_SELECT = (
-    "d.img_body, d.img_plate, d.img_back, d.plate1_origin, d.plate2_origin, d.province_origin, d.model, d.color"
-)
+def with_views(body: str, views=ALL_VIEWS, steps: dict[str, str] | None = None) -> str:
+    named = {v: FIXTURE_VIEWS[v] for v in views} | (steps or {})
+    if body.startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
+    ctes = ",\n".join(f"{name} AS ({text})" for name, text in named.items())
+    return f"WITH {ctes}\n{body}"
 
 
 def report_projection_sql(hits: str, report_date: str, slot: str, prefix: str) -> str:
@@ -247,109 +230,76 @@ def width_profile_sql(hits: str, header_lengths: dict[str, int]) -> str:
     return f"SELECT {cols}\nFROM ({hits}) h"
 
 
-def run_days_sql() -> str:
-    return f"SELECT DISTINCT CAST(transaction_date AS DATE) AS run_date FROM ({gate_sql()}) g"
-
-
-def slots_values_sql(slots, list_name: str) -> str:
-    rows = ", ".join(
-        f"('{s.name}', '{s.code}', {s.lo_days_back}, {s.hi_time.hour}, '{s.folder.format(list=list_name)}', '{s.suffix}')"
-        for s in slots
-    )
-    return f"SELECT * FROM (VALUES {rows}) t(slot, slot_code, lo_days, hi_h, folder, suffix)"
-
-
-def _w(window) -> tuple[str, str]:
-    return window.lo.strftime("%Y-%m-%d %H:%M:%S"), window.hi.strftime("%Y-%m-%d %H:%M:%S")
-
-
 def oracle_queries() -> dict[str, str]:
-    """Oracle SQL for every key of ``gatewatch.catalog.QUERIES`` that has one."""
-    from gatewatch import catalog as C
-    from gatewatch.plans.reports import HEADER_LABELS
-    from gatewatch.plans.slots import SLOTS, excluded_reports, slot_window
-
-    L = C.LIST_NAME
-    lb_lo, lb_hi = _w(C.LOOKBACK)
-    run = C.RUN_DATE.isoformat()
-    gate = gate_sql()
-    src = source_rows_sql(None, None)
-    header_lengths = {k: len(v) for k, v in HEADER_LABELS.items()}
+    """Oracle SQL for every key of the registered queries."""
+    days = (
+        "(SELECT CAST(unnest(generate_series(min(CAST(transaction_date AS DATE)), max(CAST(transaction_date AS DATE)), "
+        "INTERVAL 1 DAY)) AS DATE) AS run_date FROM gate)"
+    )
+    slots = f"(VALUES {SLOT_ROWS}) t(slot, slot_code, lo_days, hi_h, folder, suffix)"
+    expected = (
+        "SELECT run_date AS report_date, slot, 'WatchList/' || folder || '/' || strftime(run_date, '%Y-%m-%d') "
+        f"|| '/{LIST}_List_' || strftime(run_date, '%Y-%m-%d') || suffix || '.xlsx' AS object_name FROM {days}, {slots}"
+    )
+    names = " UNION ".join(
+        f"SELECT '{kind}' AS kind, img_{kind} AS key, replace(img_{kind}, '{kind}/', '') AS name FROM watchlist_master "
+        f"WHERE img_{kind} <> ''"
+        for kind in ("body", "plate", "back")
+    )
+    rollback = (
+        "gate g LEFT JOIN invoice_rollback r ON (r.plate1, r.plate2, r.province) = "
+        "(g.vehicle_license_1, g.vehicle_license_2, g.vehicle_province)"
+    )
 
-    def hits_ids(windows) -> str:
-        return "\nUNION ALL\n".join(
-            f"SELECT transaction_id FROM ({hits_sql_body(*_w(w), L)}) p{i}" for i, w in enumerate(windows)
-        )
+    def ids(windows) -> str:
+        return " UNION ".join(f"SELECT transaction_id FROM ({hits_sql_body(*w)})" for w in windows)
 
-    def report_sql(slot_name: str) -> str:
-        published = [slot_window(s, d) for d, s in excluded_reports(slot_name, C.RUN_DATE)]
-        slot_hits = hits_sql_body(*_w(slot_window(slot_name, C.RUN_DATE)), L)
-        fresh = (
-            f"SELECT * FROM ({slot_hits}) s WHERE NOT EXISTS (SELECT 1 FROM ({hits_ids(published)}) p "
-            f"WHERE p.transaction_id IS NOT DISTINCT FROM s.transaction_id)"
-        )
-        return report_projection_sql(fresh, run, slot_name, C.URL_PREFIX)
+    def report(slot: str) -> str:
+        fresh = f"SELECT * FROM ({hits_sql_body(*WINDOWS[slot])}) WHERE transaction_id NOT IN ({ids(BEFORE[slot])})"
+        return report_projection_sql(fresh, RUN, slot, PREFIX)
 
-    lookback_hits = hits_sql_body(lb_lo, lb_hi, L)
+    lookback = hits_sql_body(*WINDOWS["DAY-1"])
+    lo, hi = WINDOWS["DAY-1"]
     q = {
-        "scan_gate_txn": gate,
-        "filter_window_inclusive": f"SELECT * FROM ({gate}) g WHERE {window_pred(lb_lo, lb_hi)}",
-        "paid_active_txn": f"SELECT * FROM ({gate}) g WHERE fee_amount > 0 AND delete_flag = 0",
-        "singleton_groups": singleton_sql(),
-        "province_lookup": f"SELECT g.*, b.description FROM ({gate}) g JOIN province_office b ON g.vehicle_province = b.code",
-        "camera_left_join": camera_join_sql(),
-        "back_camera_left_join": (
-            f"SELECT g.*, back.back_path_pic FROM ({gate}) g LEFT JOIN back_camera back "
-            "ON g.ref_transaction_id = back.ref_transaction_id AND back.delete_flag = 0"
-        ),
-        "dead_left_join_dedup": (
-            f"SELECT DISTINCT g.* FROM ({gate}) g LEFT JOIN invoice_rollback e ON g.vehicle_license_1 = e.plate1 "
-            "AND g.vehicle_license_2 = e.plate2 AND g.vehicle_province = e.province"
-        ),
-        "vehicle_class_case": f"SELECT a.mem_type, a.transaction_id, a.vehicle_wheel_code, {VEHICLE_CLASS_SQL} AS vehicle_class FROM ({gate}) a",
-        "source_union_distinct": src,
-        "invoice_union_distinct": INVOICES_SQL,
-        "invoice_status_left_join": (
-            f"SELECT x.*, y.status, y.create_channel FROM ({src}) x LEFT JOIN ({INVOICES_SQL}) y "
-            "ON x.transaction_id = y.transaction_id"
-        ),
-        "watchlist_type_filter": (
-            f"SELECT d.* FROM watchlist_master d LEFT JOIN watchlist_type e ON d.list_type = e.id WHERE e.list_name = '{L}'"
-        ),
-        "watchlist_like_join": (
-            f"SELECT x.*, {WATCHLIST_SELECT} FROM ({src}) x JOIN watchlist_master d ON d.plate1 = x.vehicle_license_1 "
-            "AND d.plate2 = x.vehicle_license_2 AND x.description LIKE d.province"
-        ),
-        "first_hit_per_vehicle": hits_sql_body(None, None, L),
-        "hits_lookback": lookback_hits,
-        "watchlist_hits": hits_sql_body(*_w(C.FULL_DAY), L),
-        "hits_overnight": hits_sql_body(*_w(C.OVERNIGHT), L),
+        "scan_gate_txn": f"SELECT {GATE} FROM gate",
+        "filter_window_inclusive": f"SELECT {GATE} FROM gate WHERE transaction_date >= TIMESTAMP '{lo}' AND transaction_date <= TIMESTAMP '{hi}'",
+        "paid_active_txn": f"SELECT {GATE} FROM gate WHERE fee_amount > 0 AND delete_flag = 0",
+        "singleton_groups": f"SELECT {GATE} FROM alone",
+        "province_lookup": f"SELECT {GATE}, description FROM gate, province_office WHERE code = vehicle_province",
+        "camera_left_join": f"SELECT {GATE}, body_path_pic, plate_path_pic FROM gate LEFT JOIN cameras USING (mem_type, transaction_id)",
+        "back_camera_left_join": f"SELECT {GATE}, back_path_pic FROM gate LEFT JOIN rear USING (ref_transaction_id)",
+        "dead_left_join_dedup": f"SELECT DISTINCT {', '.join('g.' + c.strip() for c in GATE.split(','))} FROM {rollback}",
+        "rollback_left_join": f"SELECT {', '.join('g.' + c.strip() for c in GATE.split(','))} FROM {rollback}",
+        "vehicle_class_case": f"SELECT mem_type, transaction_id, vehicle_wheel_code, {WHEEL} AS vehicle_class FROM gate",
+        "source_union_distinct": "SELECT * FROM source",
+        "invoice_union_distinct": "SELECT * FROM bills",
+        "invoice_status_left_join": f"SELECT {SOURCE}, status, create_channel FROM source LEFT JOIN bills USING (transaction_id)",
+        "watchlist_type_filter": "SELECT * FROM listed",
+        "watchlist_like_join": _matched("watchlist_master"),
+        "first_hit_per_vehicle": hits_sql_body(None, None),
+        "hits_lookback": lookback,
+        "watchlist_hits": hits_sql_body(*WINDOWS["NIGHT"]),
+        "hits_overnight": hits_sql_body(*OVERNIGHT),
         "slot_windows": (
-            f"SELECT d.run_date, s.slot, s.slot_code, CAST(d.run_date - CAST(s.lo_days AS INTEGER) AS TIMESTAMP) AS lo, "
-            f"CAST(d.run_date AS TIMESTAMP) + to_hours(CAST(s.hi_h AS BIGINT)) AS hi "
-            f"FROM ({run_days_sql()}) d CROSS JOIN ({slots_values_sql(SLOTS, L)}) s"
-        ),
-        "published_ids": (
-            "SELECT DISTINCT transaction_id FROM ("
-            + hits_ids([slot_window(s, d) for d, s in excluded_reports("NIGHT", C.RUN_DATE)])
-            + ") u"
+            "SELECT run_date, slot, slot_code, CAST(run_date - CAST(lo_days AS INTEGER) AS TIMESTAMP) AS lo, "
+            f"CAST(run_date AS TIMESTAMP) + to_hours(CAST(hi_h AS BIGINT)) AS hi FROM {days}, {slots}"
         ),
-        "report_day_1": report_sql("DAY-1"),
-        "report_day": report_sql("DAY"),
-        "report_afternoon": report_sql("AFTERNOON"),
-        "report_night": report_sql("NIGHT"),
-        "report_columns": report_projection_sql(lookback_hits, run, "DAY-1", C.URL_PREFIX),
-        "report_width_profile": width_profile_sql(lookback_hits, header_lengths),
-        "picture_names": (
-            "SELECT DISTINCT kind, key, replace(key, kind || '/', '') AS name FROM ("
-            "SELECT 'body' AS kind, img_body AS key FROM watchlist_master UNION ALL "
-            "SELECT 'plate' AS kind, img_plate AS key FROM watchlist_master UNION ALL "
-            "SELECT 'back' AS kind, img_back AS key FROM watchlist_master) k WHERE key IS NOT NULL AND key <> ''"
+        "published_ids": ids(BEFORE["NIGHT"]),
+        "report_day_1": report("DAY-1"),
+        "report_day": report("DAY"),
+        "report_afternoon": report("AFTERNOON"),
+        "report_night": report("NIGHT"),
+        "report_columns": report_projection_sql(lookback, RUN, "DAY-1", PREFIX),
+        "report_width_profile": width_profile_sql(lookback, HEADER_LENGTHS),
+        "picture_names": names,
+        "picture_scale": (
+            f"SELECT key, name, width, height, CASE kind WHEN 'plate' THEN 350.0 / nullif(width, 0) ELSE 50.0 / nullif(height, 0) END AS scale "
+            f"FROM ({names}) LEFT JOIN stored_pictures USING (key)"
         ),
-        "expected_reports": (
-            "SELECT d.run_date AS report_date, s.slot, 'WatchList/' || s.folder || '/' || strftime(d.run_date, '%Y-%m-%d') "
-            f"|| '/{L}_List_' || strftime(d.run_date, '%Y-%m-%d') || s.suffix || '.xlsx' AS object_name "
-            f"FROM ({run_days_sql()}) d CROSS JOIN ({slots_values_sql(SLOTS, L)}) s"
+        "expected_reports": expected,
+        "missing_reports": (
+            f"SELECT * FROM ({expected}) WHERE (report_date, slot) NOT IN (SELECT (report_date, slot) FROM report_runs WHERE list_name = '{LIST}')"
         ),
+        "fresh_against_stored": f"SELECT * FROM ({lookback}) WHERE transaction_id NOT IN (SELECT transaction_id FROM stored_ids)",
     }
-    return {name: with_views(body) for name, body in q.items()}
+    return {name: with_views(body, steps=_steps()) for name, body in q.items()}

@@ -20,8 +20,8 @@ def expected_reports(run_dates: DataFrame, list_name: str, date_col: str = "run_
     return x.select(F.col("run_date").alias("report_date"), "slot", name.alias("object_name"))
 
 
-def missing_reports(expected: DataFrame, runs: DataFrame) -> DataFrame:
-    """Expected reports with no recorded run (an empty report still records
-    one). A left anti join on (report_date, slot)."""
-    done = runs.select("report_date", "slot")
+def missing_reports(expected: DataFrame, runs: DataFrame, list_name: str) -> DataFrame:
+    """Expected reports of a list with no recorded run of that list (an empty
+    report still records one). A left anti join on (report_date, slot)."""
+    done = runs.where(F.col("list_name") == F.lit(list_name)).select("report_date", "slot")
     return expected.join(done, ["report_date", "slot"], "left_anti")

@@ -112,7 +112,6 @@ def build_report(
     count (0 still records a run)."""
     s = slot(slot_name)
     hits = watchlist_hits(tables, slot_window(s.name, run_date), list_name, limits, with_invoices=False)
-    pairs = excluded_reports(s.name, run_date)
-    published = store.published_ids(pairs)
-    fresh = exclude_published(hits, published, limits, bound=store.published_bound(pairs))
-    return store.write(report_columns(fresh, run_date, s.name, url_prefix), run_date, s.name)
+    published, bound = store.published(list_name, excluded_reports(s.name, run_date))
+    fresh = exclude_published(hits, published, limits, bound=bound)
+    return store.write(report_columns(fresh, run_date, s.name, url_prefix), list_name, run_date, s.name)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.sources.tables import Window
@@ -67,13 +67,6 @@ def object_name(name_or_code: str, run_date: date, list_name: str) -> str:
     return OBJECT_NAME.format(folder=s.folder.format(list=list_name), date=d, list=list_name, suffix=s.suffix)
 
 
-def _at(day: Column, days_back: int, t: time) -> Column:
-    d = F.date_sub(day, days_back)
-    return F.make_timestamp_ntz(
-        F.year(d), F.month(d), F.dayofmonth(d), F.lit(t.hour), F.lit(t.minute), F.lit(t.second)
-    )
-
-
 def explode_slots(run_dates: DataFrame, date_col: str = "run_date") -> DataFrame:
     """One row per (run date, slot): a generator over a 4-element literal
     array (no join), carrying each slot's calendar fields."""
@@ -105,6 +98,10 @@ def slot_windows(run_dates: DataFrame, date_col: str = "run_date") -> DataFrame:
     return x.select("run_date", "slot", "slot_code", lo.alias("lo"), hi.alias("hi"))
 
 
-def transaction_days(txn: DataFrame) -> DataFrame:
-    """Distinct calendar days of the transactions (the run dates they feed)."""
-    return txn.select(F.to_date("transaction_date").alias("run_date")).distinct()
+def calendar_days(txn: DataFrame) -> DataFrame:
+    """Every calendar day from the first to the last transaction, days without
+    traffic included: a report is expected for each of them. One partial
+    aggregation of two values; no rows give no days."""
+    day = F.to_date("transaction_date")
+    ends = txn.agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
+    return ends.where("lo IS NOT NULL").select(F.explode(F.sequence("lo", "hi")).alias("run_date"))

@@ -77,11 +77,8 @@ REPORT = _struct(
 )
 REPORT_COLUMNS = ["report_date", "slot"] + [f.name for f in REPORT.fields[:-2]]
 
-REPORT_RUNS = _struct(("row_count", L), ("report_date", D), ("slot", S))
-
-EXPECTED_REPORTS = _struct(("report_date", D), ("slot", S), ("object_name", S))
-
-PICTURES = _struct(("key", S), ("name", S), ("width", I), ("height", I), ("scale", DB))
+# One record per run; ``run_id`` (sortable by time) names the folder it wrote.
+REPORT_RUNS = _struct(("run_id", S), ("row_count", L), ("list_name", S), ("report_date", D), ("slot", S))
 
 CAMERA = _struct(("transaction_id", L), ("body_path_pic", S), ("plate_path_pic", S))
 INPUTS = {

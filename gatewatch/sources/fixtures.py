@@ -199,3 +199,32 @@ def _build_fixture_tables(spark: SparkSession, sf_dir: str) -> TollTables:
         watchlist_type=base.watchlist_type,
         extra={"events": events},
     )
+
+
+def stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records (list_name, report_date, slot) as an earlier deployment
+    would have left them, with gaps; derived from the events."""
+    kinds = {"click": "DAY-1", "purchase": "DAY", "view": "AFTERNOON"}
+    slot = F.lit("NIGHT")
+    for kind, name in kinds.items():
+        slot = F.when(F.col("event_type") == kind, name).otherwise(slot)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id % 23 = 0")
+    lists = F.when(F.col("user_id") % 2 == 0, "ASIA").otherwise("OTHER")
+    return events.select(lists.alias("list_name"), F.to_date("ts").alias("report_date"), slot.alias("slot")).distinct()
+
+
+def stored_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction ids of reports that a store already holds."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.where("event_id % 5 = 0").select(F.col("event_id").alias("transaction_id"))
+
+
+def stored_pictures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """key, width and height of the stored reference pictures."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").where("c_custkey % 7 <> 0")
+    kinds = customer.select("c_custkey", F.explode(F.array(F.lit("body"), F.lit("plate"), F.lit("back"))).alias("kind"))
+    return kinds.select(
+        F.concat("kind", F.lit("/"), F.col("c_custkey").cast("string"), F.lit(".png")).alias("key"),
+        (F.col("c_custkey") % 700).cast("int").alias("width"),
+        (F.col("c_custkey") % 400).cast("int").alias("height"),
+    )

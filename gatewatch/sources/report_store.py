@@ -1,34 +1,38 @@
-"""The report store: published reports and run records as partitioned Parquet.
+"""The report store: published reports and run records as Parquet.
 
 Layout under ``root`` (any Hadoop path: local, HDFS, ``s3a://``):
 
-- ``reports/report_date=YYYY-MM-DD/slot=NAME/part-*.parquet``: report rows (SNK1, SNK2)
-- ``runs/report_date=YYYY-MM-DD/slot=NAME/part-*.parquet``: one row per run,
-  also for an empty report (SNK3), since an empty write creates no partition.
-
-Each run overwrites exactly its own partition folder, so re-running a slot
-replaces its earlier output, and an empty result empties it (dynamic
-partition overwrite would leave an empty run's stale rows in place). Earlier
-reports are read back with one partition-pruned scan (SRC4, SRC5, SET3); a
-store that does not exist yet reads as empty.
+- ``reports/list_name=L/report_date=YYYY-MM-DD/slot=NAME/run_id=ID/``: the rows
+  that one run wrote (SNK1, SNK2)
+- ``runs/list_name=L/report_date=YYYY-MM-DD/slot=NAME/run_id=ID/``: one row per
+  finished run, also for an empty report (SNK3)
+
+A run writes into a fresh folder and is committed by its record, written last;
+of a slot's records the latest counts, and readers go to the folders that the
+records name. A run that fails leaves the earlier report as it was, and rows
+without a record are no report. Readers name exact folders, so no listing of
+the whole store is needed (SRC4, SRC5, SET3); a store that does not exist yet
+reads as empty.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable
 from datetime import date
-from functools import reduce
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gatewatch.schemas import REPORT, REPORT_COLUMNS, REPORT_RUNS
 
-
-def _pairs_predicate(pairs: Iterable[tuple[date, str]]) -> Column:
-    terms = [(F.col("report_date") == F.lit(d)) & (F.col("slot") == F.lit(s)) for d, s in pairs]
-    return reduce(lambda a, b: a | b, terms) if terms else F.lit(False)
+Pairs = Iterable[tuple[date, str]]
+_STORED = T.StructType([*REPORT.fields, T.StructField("list_name", T.StringType()), T.StructField("run_id", T.StringType())])
+_SLOT = ("list_name", "report_date", "slot")
 
 
 class ReportStore:
@@ -38,56 +42,74 @@ class ReportStore:
         self.reports_path = f"{self.root}/reports"
         self.runs_path = f"{self.root}/runs"
 
-    def _read(self, path: str, schema) -> DataFrame:
+    @staticmethod
+    def _folder(root: str, list_name: str, report_date: date, slot: str, run_id: str = "") -> str:
+        folder = f"{root}/list_name={quote(list_name, safe='')}/report_date={report_date.isoformat()}/slot={slot}"
+        return f"{folder}/run_id={run_id}" if run_id else folder
+
+    def _read(self, base: str, paths: list[str], schema: T.StructType) -> DataFrame:
+        """The folders of ``paths`` that exist."""
+        reader = self.spark.read.schema(schema).option("basePath", base)
         try:
-            return self.spark.read.schema(schema).option("basePath", path).parquet(path)
+            return reader.parquet(*paths).select(*schema.fieldNames())
         except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-                return self.spark.createDataFrame([], schema)
-            raise
+            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+                raise
+        found = self.spark.createDataFrame([], schema)
+        for path in paths if len(paths) > 1 else []:
+            found = found.union(self._read(base, [path], schema))
+        return found
 
-    def reports(self) -> DataFrame:
-        return self._read(self.reports_path, REPORT)
+    def _latest(self, records: DataFrame) -> DataFrame:
+        last = F.max(F.struct("run_id", "row_count")).alias("last")
+        return records.groupBy(*_SLOT).agg(last).select("last.run_id", "last.row_count", *_SLOT)
 
     def runs(self) -> DataFrame:
-        return self._read(self.runs_path, REPORT_RUNS)
+        """The latest record of every (list, date, slot)."""
+        return self._latest(self._read(self.runs_path, [self.runs_path], REPORT_RUNS))
 
-    def published_ids(self, pairs: Iterable[tuple[date, str]]) -> DataFrame:
-        """Transaction ids of the given (report_date, slot) reports; a missing
-        report contributes nothing. Partition pruning reads only those folders."""
-        return self.reports().where(_pairs_predicate(list(pairs))).select("transaction_id")
-
-    def published_bound(self, pairs: Iterable[tuple[date, str]]) -> int:
-        """Rows the given reports hold, from the run records (a read of the
-        small runs table, not of the reports): a measured bound on their ids."""
-        total = self.runs().where(_pairs_predicate(list(pairs))).agg(F.sum("row_count")).first()[0]
-        return int(total or 0)
-
-    @staticmethod
-    def _partition(root: str, report_date: date, slot: str) -> str:
-        return f"{root}/report_date={report_date.isoformat()}/slot={slot}"
-
-    def write(self, report: DataFrame, report_date: date, slot: str) -> int:
-        """Write one slot's report, record the run, return its row count."""
-        rows = (
-            report.where((F.col("report_date") == F.lit(report_date)) & (F.col("slot") == F.lit(slot)))
-            .select(*REPORT_COLUMNS)
-            .drop("report_date", "slot")
-            .sortWithinPartitions("transaction_time", "transaction_id")
-        )
-        rows.write.mode("overwrite").parquet(self._partition(self.reports_path, report_date, slot))
-        written = self.reports().where(_pairs_predicate([(report_date, slot)])).count()
-        run = self.spark.createDataFrame([(written,)], "row_count long")
-        run.coalesce(1).write.mode("overwrite").parquet(self._partition(self.runs_path, report_date, slot))
+    def reports(self) -> DataFrame:
+        """All committed reports: REPORT columns and ``list_name``."""
+        rows = self._read(self.reports_path, [self.reports_path], _STORED)
+        return rows.join(self.runs(), [*_SLOT, "run_id"], "left_semi").select(*REPORT.fieldNames(), "list_name")
+
+    def _records(self, list_name: str, pairs: Pairs) -> list:
+        """Latest records of the given slots: at most one per pair."""
+        paths = [self._folder(self.runs_path, list_name, d, s) for d, s in pairs]
+        return self._latest(self._read(self.runs_path, paths, REPORT_RUNS)).collect() if paths else []
+
+    def _reports_of(self, records: list) -> DataFrame:
+        paths = [self._folder(self.reports_path, r.list_name, r.report_date, r.slot, r.run_id) for r in records]
+        if not paths:
+            return self.spark.createDataFrame([], _STORED)
+        return self._read(self.reports_path, paths, _STORED)
+
+    def published_ids(self, list_name: str, pairs: Pairs) -> DataFrame:
+        """Transaction ids of a list's reports of the given (date, slot); a
+        missing report contributes nothing."""
+        return self._reports_of(self._records(list_name, pairs)).select("transaction_id")
+
+    def published(self, list_name: str, pairs: Pairs) -> tuple[DataFrame, int]:
+        """``published_ids`` and how many there are, by the records that name
+        the folders read: rows and bound cannot disagree."""
+        records = self._records(list_name, pairs)
+        return self._reports_of(records).select("transaction_id"), sum(r.row_count for r in records)
+
+    def write(self, report: DataFrame, list_name: str, report_date: date, slot: str) -> int:
+        """Write one slot's report, commit it, return its row count. A row of
+        another date or slot fails the run."""
+        own = F.col("report_date").eqNullSafe(F.lit(report_date)) & F.col("slot").eqNullSafe(F.lit(slot))
+        foreign = F.raise_error(F.lit(f"a row is not of {report_date} {slot}")).cast("boolean")
+        rows = report.where(F.when(own, True).otherwise(foreign)).select(*REPORT_COLUMNS).drop("report_date", "slot")
+        run_id = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+        folder = self._folder(self.reports_path, list_name, report_date, slot, run_id)
+        rows.sortWithinPartitions("transaction_time", "transaction_id").write.parquet(folder)
+        written = self.spark.read.schema(REPORT).parquet(folder).count()
+        record = self.spark.createDataFrame([(written,)], "row_count long")
+        record.coalesce(1).write.parquet(self._folder(self.runs_path, list_name, report_date, slot, run_id))
         return written
 
-    def export_csv(self, report_date: date, slot: str, path: str) -> None:
+    def export_csv(self, list_name: str, report_date: date, slot: str, path: str) -> None:
         """Report rows as CSV with a header, globally ordered by time then id."""
-        (
-            self.reports()
-            .where(_pairs_predicate([(report_date, slot)]))
-            .orderBy(F.asc_nulls_last("transaction_time"), "transaction_id")
-            .write.mode("overwrite")
-            .option("header", True)
-            .csv(path)
-        )
+        rows = self._reports_of(self._records(list_name, [(report_date, slot)])).select(*REPORT.fieldNames())
+        rows.orderBy(F.asc_nulls_last("transaction_time"), "transaction_id").write.mode("overwrite").option("header", True).csv(path)

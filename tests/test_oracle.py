@@ -7,12 +7,13 @@ from conftest import SF001, SF01
 from oracle_compare import compare
 
 import __spark_entry__ as E
+from gatewatch.catalog import QUERIES
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(QUERIES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -21,7 +21,7 @@ PREFIX = "https://pictures.invalid/download/"
 
 def test_missing_store_reads_empty(spark, scratch):
     store = ReportStore(spark, os.path.join(scratch, "nothing-here"))
-    assert store.published_ids([(date(2024, 1, 1), "DAY")]).count() == 0
+    assert store.published_ids("ASIA", [(date(2024, 1, 1), "DAY"), (date(2024, 1, 2), "DAY")]).count() == 0
     assert store.runs().count() == 0
 
 
@@ -85,9 +85,9 @@ def test_missing_report_check(spark, scratch):
     d = date(2024, 1, 12)
     empty = spark.createDataFrame([], store.reports().schema).select(*REPORT_COLUMNS)
     for s in ("DAY-1", "DAY", "AFTERNOON"):
-        assert store.write(empty, d, s) == 0  # an empty report still records its run
+        assert store.write(empty, "ASIA", d, s) == 0  # an empty report still records its run
     days = spark.createDataFrame([(d,)], "run_date date")
-    missing = missing_reports(expected_reports(days, "ASIA"), store.runs()).collect()
+    missing = missing_reports(expected_reports(days, "ASIA"), store.runs(), "ASIA").collect()
     assert [(r.report_date, r.slot) for r in missing] == [(d, "NIGHT")]
     assert missing[0].object_name.endswith("_Night.xlsx")
 
@@ -152,7 +152,7 @@ def test_csv_export_is_globally_ordered(spark, scratch):
     d = date(2024, 1, 12)
     assert build_report(t, store, "DAY-1", d, "ASIA", PREFIX) == 104  # empty store: the whole window
     out = os.path.join(scratch, "csv")
-    store.export_csv(d, "DAY-1", out)
+    store.export_csv("ASIA", d, "DAY-1", out)
     rows = []
     for f in sorted(glob.glob(os.path.join(out, "part-*.csv"))):
         with open(f, newline="") as fh:
@@ -205,3 +205,40 @@ def test_report_chain_same_on_shuffle_paths(spark, scratch):
                 build_report(t, store, s, d, "ASIA", PREFIX, limits)
         out[name] = sorted(tuple(r) for r in store.reports().collect())
     assert out["tight"] == out["default"] and out["default"]
+
+
+def test_lists_keep_their_own_reports(spark, scratch):
+    store, d = ReportStore(spark, scratch), date(2024, 1, 12)
+    t = make_tables(spark, member_txn=[txn(10, "2024-01-12 07:00:00")], watchlist_master=[wl_row(list_type=1), wl_row(list_type=2)])
+    assert build_report(t, store, "DAY-1", d, "LIST", PREFIX) == 1
+    days = spark.createDataFrame([(d,)], "run_date date")
+    assert missing_reports(expected_reports(days, "OTHER"), store.runs(), "OTHER").count() == 4
+    # The other list has not published the id: its later slot still reports it.
+    assert build_report(t, store, "DAY", d, "OTHER", PREFIX) == 1
+    assert build_report(t, store, "DAY", d, "LIST", PREFIX) == 0
+    assert sorted((r.list_name, r.slot) for r in store.reports().collect()) == [("LIST", "DAY-1"), ("OTHER", "DAY")]
+
+
+def test_failed_rerun_leaves_the_report(spark, scratch):
+    store, d = ReportStore(spark, scratch), date(2024, 1, 12)
+    t = make_tables(spark, member_txn=[txn(10, "2024-01-12 09:00:00")], watchlist_master=[wl_row()])
+    assert build_report(t, store, "DAY", d, "LIST", PREFIX) == 1
+    good = store.reports().select(*REPORT_COLUMNS)
+    with pytest.raises(Exception, match="is not of"):
+        store.write(good.selectExpr("report_date", "'NIGHT' AS slot", *REPORT_COLUMNS[2:]), "LIST", d, "DAY")
+    assert [(r.slot, r.transaction_id) for r in store.reports().collect()] == [("DAY", 10)]
+    assert store.published("LIST", [(d, "DAY")])[1] == 1
+
+
+def test_timestamp_text_has_no_zone(spark):
+    from pyspark.sql import functions as F
+
+    from gatewatch.functions.columns import timestamp_text
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:00' AS a, TIMESTAMP_NTZ'2024-03-10 02:30:00.0205' AS b")
+        assert tuple(df.select(timestamp_text(F.col("a")), timestamp_text(F.col("b"))).first()) == ("2024-03-10 02:30:00", "2024-03-10 02:30:00.020500")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
