@@ -8,12 +8,13 @@ size form one group, and only groups are looked up by shingle; group pairs
 pass a size filter and are then expanded to their members and verified on the
 whole sets.
 
-The result needs the components, not all pairs, so a bucket of m members
-never makes m * m pairs: each group is first verified against one pivot, of the
-pivots of its buckets the one met most often; only members of a bucket that are
-then still in different components are paired and verified in a second pass. A
-link is thereby either verified or lies within a component already, so none is
-lost.
+The result needs the components, not all pairs, so similar members of a bucket
+never meet pairwise: each group is first verified against one pivot, of the
+pivots of its buckets the one met most often. Buckets that then still hold far more
+pairs of components than members go through further rounds with other pivots,
+as long as those rounds settle many pairs. Only members of a bucket that are then still in different
+components are paired and verified, whatever their number. A link is thereby
+either verified or lies within a component already, so none is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ PERCENT = 75
 BUCKETS = 1 << 16  # counters of the shingle order; fixed, whatever the corpus
 HOT = 20_000  # members of a shingle's bucket handled together
 TOGETHER = 500  # sets verified against one pivot in a task
+DENSE = 4  # pairs of different components for each bucket place that call for a round
+WORTH = 0.5  # a round that leaves more than this share of the pairs is the last
 
 
 def _digests(s: np.ndarray) -> tuple[int, int]:
@@ -113,14 +116,15 @@ def _sets(docs: DataFrame) -> DataFrame:
                 found = [s.tobytes() for s in shingle_sets(data, offsets)]
                 yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), pa.array(found, pa.binary())], names=["node", "hashes"])
 
-    return docs.select("node", "text").mapInArrow(run, "node string, hashes binary")
+    return docs.select("node", "text").mapInArrow(run, "node long, hashes binary")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (pivot, other) that are similar enough. Each pivot's set meets
     at most ``TOGETHER`` others in a group, whatever the size of its star."""
     piece = F.pmod(F.xxhash64("other"), F.ceil(F.col("m") / TOGETHER).cast("long"))
-    stars = pairs.join(pairs.groupBy("pivot").agg(F.count("*").alias("m")), "pivot").select("pivot", "other", piece.alias("piece"))
+    large = staged(pairs.groupBy("pivot").agg(F.count("*").alias("m")).where(F.col("m") > TOGETHER), "join-large")
+    stars = pairs.join(sized(large), "pivot", "left").select("pivot", "other", F.coalesce(piece, F.lit(0)).alias("piece"))
     stars = staged(stars, "join-stars")
     others = stars.select("pivot", "piece", F.col("other").alias("node"))
     heads = stars.select("pivot", "piece", F.col("pivot").alias("node")).distinct()
@@ -137,13 +141,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         pivot = key[0].as_py()
         head = found[nodes.index(pivot)]
         linked = [n for n, s in zip(nodes, found) if n != pivot and similar(head, s)]
-        return pa.table({"u": pa.array([pivot] * len(linked), pa.string()), "v": pa.array(linked, pa.string())})
+        return pa.table({"u": pa.array([pivot] * len(linked), pa.int64()), "v": pa.array(linked, pa.int64())})
 
-    return rows.groupBy("pivot", "piece").applyInArrow(run, "u string, v string")
-
-
-def _first(p: str, q: str):
-    return F.when(F.col(p) < F.col(q), F.col(p)).otherwise(F.col(q)), F.when(F.col(p) < F.col(q), F.col(q)).otherwise(F.col(p))
+    return rows.groupBy("pivot", "piece").applyInArrow(run, "u long, v long")
 
 
 def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
@@ -160,7 +160,7 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     d = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     d = d.withColumn("row", F.xxhash64("doc_id", "text"))
     rows = staged(_prefixes(d, _bucket_counts(d), percent), "join-rows")
-    node = F.concat_ws(".", F.hex("a"), F.hex("b"), F.col("n").cast("string"))
+    node = F.xxhash64("a", "b", "n")
     slim = rows.select("doc_id", "row", "n", node.alias("node"), "grp")
     nodes = staged(
         slim.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.first("n").alias("n"), F.first("grp").alias("grp")),
@@ -187,7 +187,13 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     star = shared.select(F.col("p").alias("g"), F.col("grp").alias("h")).union(whole).where("g != h")
     star = star.groupBy("g", "h").agg(F.count("*").alias("m"))
     known = lambda side: groups.select(F.col("grp").alias(side), F.col("head").alias(f"{side}_head"), F.col("n").alias(f"{side}_n"))
-    star = star.join(known("g"), "g").join(known("h"), "h").where(fits("g_n", "h_n"))
+    # Of two prefixes that share m shingles, the sets share at most m plus what
+    # lies beyond the prefix of one of them. Here and in the rounds m may be too
+    # low, which only leaves a pair to a later step.
+    beyond = lambda x, y: F.ceil(F.greatest(x, y) * percent / 100) - 1
+    needed = lambda x, y: F.ceil((F.col(x) + F.col(y)) * percent / (100 + percent))
+    enough = lambda x, y: F.col("m") + beyond(x, y) >= needed(x, y)
+    star = star.join(known("g"), "g").join(known("h"), "h").where(fits("g_n", "h_n") & enough("g_n", "h_n"))
     pairs = star.groupBy("h").agg(F.max_by(F.struct(F.col("g_head").alias("pivot"), F.col("h_head").alias("other")), F.struct("m", "g")).alias("best")).select("best.*")
     inner = nodes.join(groups.where("members > 1").select("grp", "head"), "grp").select(F.col("head").alias("pivot"), F.col("node").alias("other"))
     pairs = staged(pairs.union(inner).where("pivot != other").distinct(), "join-pairs")
@@ -199,35 +205,62 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
         sets = _sets(texts.dropDuplicates(["node"]) if _repeated(slim) else texts)
         return staged(_verify(candidates, sets, percent), f"join-links-{name}")
 
-    links = verified(pairs, "a")
-    label = components(links)
+    label = components(verified(pairs, "a"))
+    tested = [pairs]
 
-    # Shingles, and groups, that still hold several components: pair those.
     def labelled(df: DataFrame) -> DataFrame:
-        return df.join(label, df["node"] == label["u"], "left").withColumn("comp", F.coalesce("root", "node")).drop("u", "root")
+        named = sized(label.select(F.col("u").alias("node"), "root"))
+        return df.join(named, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
 
-    members = staged(labelled(nodes.select("grp", "node", "n")).withColumn("c", F.xxhash64("comp")), "join-members")
-    held = staged(members.groupBy("grp").agg(F.min("c").alias("lo"), F.max("c").alias("hi")), "join-held")
+    # Places (bucket, node) of shingles, and of groups, that still hold several
+    # components. Equal prefixes share all their shingles: weight n.
+    members = staged(labelled(nodes.select("grp", "node", "n")), "join-members")
+    held = staged(members.groupBy("grp").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "join-held")
     key = F.coalesce("of", "token").alias("token")
     open_ = shared.join(sized(held), "grp").groupBy(key).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("token")
     open_ = staged(open_, "join-tokens")
-    slots = keep_where(shared.select(key, "grp"), open_, ["token"]).join(members, "grp").select("token", "node", "n", "comp")
-    slots = slots.union(members.join(held.where("lo < hi").select("grp"), "grp").select(F.col("grp").alias("token"), "node", "n", "comp"))
-    slots = staged(slots, "join-open")
-    x, y = slots.toDF("token", "pivot", "xn", "xc"), slots.toDF("token", "other", "yn", "yc")
+    slots = keep_where(shared.select(key, "grp"), open_, ["token"]).join(members, "grp").select("token", "node", "n", "comp", F.lit(1).cast("long").alias("w"))
+    inside = members.join(held.where("lo < hi").select("grp"), "grp").select(F.col("grp").alias("token"), "node", "n", "comp", F.col("n").alias("w"))
+    slots = staged(slots.union(inside), "join-open")
+
+    turn, before = 0, None
+    while True:
+        # Pairs of places in different components, by counting.
+        crowd = slots.groupBy("token", "comp").agg(F.count("*").alias("m")).groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("same"))
+        crowd = crowd.select("token", ((F.col("m") * F.col("m") - F.col("same")) / 2).alias("pairs"), "m").where(F.col("pairs") > DENSE * F.col("m"))
+        dense = staged(crowd, f"join-dense-{turn}")
+        left = dense.agg(F.sum("pairs")).first()[0] or 0
+        if not left or (before is not None and left > WORTH * before):
+            break
+        turn, before = turn + 1, left
+        places = keep_where(slots, dense.select("token"), ["token"])
+        pivot = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), F.col("node").alias("pivot"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
+        heads = places.groupBy("token").agg(F.min(pivot).alias("p")).select("token", "p.*")
+        met = places.join(heads, "token").where((F.col("comp") != F.col("pc")) & fits("n", "pn"))
+        met = met.groupBy("node", "pivot", "n", "pn").agg(F.sum("w").alias("m")).where(enough("n", "pn"))
+        chosen = met.groupBy("node").agg(F.max_by("pivot", F.struct("m", "pivot")).alias("pivot")).select("pivot", F.col("node").alias("other"))
+        tested.append(staged(chosen, f"join-turn-{turn}"))
+        links = verified(tested[-1], f"turn-{turn}")
+        if links.isEmpty():
+            break  # all pairs settle the rest
+        label = components(label.select("u", F.col("root").alias("v")).union(links))
+        slots = staged(labelled(slots.drop("comp")), f"join-slots-{turn}")
+        still = slots.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+        slots = keep_where(slots, staged(still, f"join-still-{turn}"), ["token"])
+
+    # All pairs of what is left.
+    x, y = slots.select("token", F.col("node").alias("pivot"), F.col("n").alias("xn"), F.col("comp").alias("xc"), "w"), slots.select("token", F.col("node").alias("other"), F.col("n").alias("yn"), F.col("comp").alias("yc"))
     ahead = (F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("pivot") < F.col("other")))
     rest = x.join(y, "token").where((F.col("xc") != F.col("yc")) & ahead & fits("xn", "yn"))
-    # Of two prefixes that share m shingles, the sets share at most m plus what
-    # lies beyond the prefix of one of them.
-    beyond = F.ceil(F.greatest("xn", "yn") * percent / 100) - 1
-    needed = F.ceil((F.col("xn") + F.col("yn")) * percent / (100 + percent))
-    rest = rest.groupBy("pivot", "other", "xn", "yn").agg(F.count("*").alias("m")).where(F.col("m") + beyond >= needed)
-    rest = rest.select("pivot", "other").join(pairs, ["pivot", "other"], "left_anti")
-    rest = staged(rest.join(pairs.select(F.col("pivot").alias("other"), F.col("other").alias("pivot")), ["pivot", "other"], "left_anti"), "join-rest")
+    rest = rest.groupBy("pivot", "other", "xn", "yn").agg(F.sum("w").alias("m")).where(enough("xn", "yn"))
+    rest = rest.select("pivot", "other")
+    for done in tested:
+        rest = rest.join(done, ["pivot", "other"], "left_anti").join(done.select(F.col("pivot").alias("other"), F.col("other").alias("pivot")), ["pivot", "other"], "left_anti")
+    rest = staged(rest, "join-rest")
     if not rest.isEmpty():
         more = verified(rest, "b")
         if not more.isEmpty():
-            label = components(label.select(F.col("u"), F.col("root").alias("v")).union(more))
+            label = components(label.select("u", F.col("root").alias("v")).union(more))
 
     whole = nodes.select("node", "least").join(label, nodes["node"] == label["u"], "left")
     whole = staged(whole.select("node", "least", F.coalesce("root", "node").alias("root")), "join-roots")

@@ -79,10 +79,8 @@ def _sets(rows):
     return out
 
 
-@pytest.mark.parametrize("hot", [jaccard.HOT, 1])
-def test_jaccard_components(spark, docs, none, monkeypatch, hot):
-    monkeypatch.setattr(jaccard, "HOT", hot)
-    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+def _classes(rows):
+    """(doc_id, set size, least id of the component) of every row, by brute force."""
     sets = _sets(rows)
     root = list(range(len(rows)))
 
@@ -100,7 +98,14 @@ def test_jaccard_components(spark, docs, none, monkeypatch, hot):
     for i, (doc, _) in enumerate(rows):
         if doc is not None:
             least[find(i)] = min(doc, least.get(find(i), doc))
-    want = Counter((doc, len(sets[i]), least.get(find(i))) for i, (doc, _) in enumerate(rows))
+    return Counter((doc, len(sets[i]), least.get(find(i))) for i, (doc, _) in enumerate(rows))
+
+
+@pytest.mark.parametrize("hot", [jaccard.HOT, 1])
+def test_jaccard_components(spark, docs, none, monkeypatch, hot):
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    want = _classes(rows)
     assert Counter(tuple(r) for r in jaccard.join_components(docs).collect()) == want
     assert jaccard.join_components(none).count() == 0
     kept = jaccard.keep_one(docs)
@@ -110,6 +115,27 @@ def test_jaccard_components(spark, docs, none, monkeypatch, hot):
     assert set(ids) == {d for d, _, c in want if d is not None and d == c}
 
 
+@pytest.mark.parametrize("dense", [jaccard.DENSE, 0])
+def test_jaccard_equal_prefixes_and_rounds(spark, monkeypatch, dense):
+    """Copies with edits of edits: members of one group that differ from its
+    head but not from each other, and rounds of pivots (forced by ``dense``)."""
+    monkeypatch.setattr(jaccard, "DENSE", dense)
+    r = random.Random(9)
+    chunks = [[f"c{i}w{k}" for k in range(14)] for i in range(8)]
+    rows = [(i, " ".join(sum((r.choice(chunks) for _ in range(6)), []))) for i in range(60)]
+    for g in range(6):
+        rare = [f"g{g}r{k}" for k in range(44)]
+        rows += [(100 + 20 * g + k, " ".join(sum(r.sample(chunks, 4), rare))) for k in range(16)]
+    base = [f"b{k}" for k in range(120)]
+    for k in range(40):
+        t = list(base)
+        for p in r.sample(range(120), 4):
+            t[p] = f"x{k}y{p}"
+        rows.append((300 + k, " ".join(t)))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(x) for x in jaccard.join_components(d).collect()) == _classes(rows)
+
+
 def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("x", "x"), ("b", "a")], "u string, v string")
     got = {r.u: r.root for r in components.components(e).collect()}
