@@ -9,11 +9,13 @@ Standard parameters (FIXTURES.md): list ``ASIA``, run date 2024-01-12.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gatewatch.functions.columns import vehicle_class_code, vehicle_class_name
 from gatewatch.operators.enrich import (
     back_camera_left_join,
     camera_left_join,
@@ -33,7 +35,7 @@ from gatewatch.operators.transactions import (
 )
 from gatewatch.operators.watchlist import WATCHLIST_COLUMNS, watchlist_like_join, watchlist_type_filter
 from gatewatch.plans.completeness import expected_reports, missing_reports
-from gatewatch.plans.hits import compute_hits, watchlist_hits
+from gatewatch.plans.hits import Candidates, enrich_candidates, hit_ids, measured_candidates, watchlist_hits
 from gatewatch.plans.pictures import picture_names, picture_table
 from gatewatch.plans.reports import report_columns, report_width_profile
 from gatewatch.plans.slots import excluded_reports, slot_window, slot_windows, calendar_days
@@ -61,12 +63,14 @@ def _gate(t: TollTables, window: Window | None = None) -> DataFrame:
 
 
 def _source_rows(t: TollTables) -> DataFrame:
-    """The 11-column distinct source rows over all time (no window)."""
-    x = paid_active(singleton_groups(_gate(t)))
+    """The 11-column distinct source rows over all time (no window). The wheel
+    code travels through the count as its class code: see ``hit_candidates``."""
+    gate = _gate(t).withColumn("vehicle_class_code", vehicle_class_code()).drop("vehicle_wheel_code")
+    x = paid_active(singleton_groups(gate))
     x = province_lookup(x, t.province_office)
     x = camera_left_join(x, t.camera)
     x = back_camera_left_join(x, t.back_camera)
-    return source_union_distinct(with_vehicle_class(x))
+    return source_union_distinct(x.withColumn("vehicle_class", vehicle_class_name()))
 
 
 def q_scan_gate_txn(spark, sf_dir):
@@ -162,33 +166,35 @@ def q_slot_windows(spark, sf_dir):
     return slot_windows(_run_days(_tables(spark, sf_dir)))
 
 
-def published_and_fresh(t: TollTables, slot_name: str, run_date: date) -> tuple[DataFrame, DataFrame, bool]:
-    """(ids the slot's earlier reports listed, this slot's hits, whether the
-    ids are measured small), from one candidate computation over the cover of
-    all windows involved.
+def report_candidates(t: TollTables, slot_name: str, run_date: date) -> tuple[Candidates, DataFrame]:
+    """(candidates of the slot's own window, ids its earlier reports listed),
+    from one candidate computation over the cover of all windows involved.
 
     The earlier reports are taken to have run on the same data, so together
     they listed every hit of their windows. Hits are local to their
-    transaction time, so those ids are the ids of the cover's hits whose time
+    transaction time, so those ids are the hit ids of the candidates whose time
     lies in the union of the earlier windows: one filter, not one branch per
-    report. They are candidate ids, so the measured candidate count bounds them.
+    report, and no pictures. They are candidate ids, so the measured candidate
+    count bounds them.
     """
     earlier = [slot_window(s, d) for d, s in excluded_reports(slot_name, run_date)]
     own = slot_window(slot_name, run_date)
-    hits = compute_hits(t, reduce(Window.cover, earlier, own), LIST_NAME, with_invoices=False)
-    published = filter_windows(hits.rows, earlier).select("transaction_id")
-    return published, filter_window_inclusive(hits.rows, own), hits.ids_small
+    c = measured_candidates(t, reduce(Window.cover, earlier, own), LIST_NAME)
+    published = hit_ids(t, replace(c, rows=filter_windows(c.rows, earlier)))
+    return replace(c, rows=filter_window_inclusive(c.rows, own)), published
 
 
 def q_published_ids(spark, sf_dir):
-    published, _, _ = published_and_fresh(_tables(spark, sf_dir), "NIGHT", RUN_DATE)
+    _, published = report_candidates(_tables(spark, sf_dir), "NIGHT", RUN_DATE)
     return published.distinct()
 
 
 def _report(slot_name: str) -> Query:
     def q(spark, sf_dir):
-        published, hits, small = published_and_fresh(_tables(spark, sf_dir), slot_name, RUN_DATE)
-        fresh = exclude_ids(hits, published, small)
+        t = _tables(spark, sf_dir)
+        c, published = report_candidates(t, slot_name, RUN_DATE)
+        hits = enrich_candidates(t, c.rows, c.keys, c.watchlist, with_invoices=False)
+        fresh = exclude_ids(hits, published, c.keys["transaction_id"].small)
         return report_columns(fresh, RUN_DATE, slot_name, URL_PREFIX)
 
     q.__name__ = f"q_report_{slot_name}"

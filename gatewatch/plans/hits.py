@@ -49,7 +49,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.functions.columns import vehicle_class_code, vehicle_class_name
+from gatewatch.functions.columns import plate_text, vehicle_class_code, vehicle_class_name
 from gatewatch.operators.broadcast import (
     KeySet,
     bounded_broadcast,
@@ -208,6 +208,37 @@ def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@dataclass(frozen=True)
+class Candidates:
+    """Checkpointed candidates of a window, their measured keys, and the
+    watchlist they were chosen by."""
+
+    rows: DataFrame
+    keys: dict[str, KeySet]
+    watchlist: Watchlist
+
+
+def measured_candidates(
+    tables: TollTables, window: Window | None, list_name: str, limits: HitLimits = HitLimits()
+) -> Candidates:
+    watchlist = named_watchlist(tables, list_name, limits)
+    cand, keys = materialize_and_measure(hit_candidates(tables, window, watchlist), CANDIDATE_KEYS, limits)
+    return Candidates(cand, keys, watchlist)
+
+
+def hit_ids(tables: TollTables, c: Candidates) -> DataFrame:
+    """The ``transaction_id`` of every hit, without its other columns.
+
+    The first row of a vehicle and moment is the one of the smallest id, and
+    pictures and invoices only add columns or fan rows out, so neither they
+    nor the distinct are needed: one ``min`` per (time, plate text, province)."""
+    x = province_lookup(c.rows, tables.province_office)
+    small = c.keys["transaction_id"].small
+    x = watchlist_like_join(x, *candidate_watchlist(c.rows, small, c.watchlist))
+    first = x.groupBy("transaction_date", plate_text().alias("_plate"), "description")
+    return first.agg(F.min("transaction_id").alias("transaction_id")).select("transaction_id")
+
+
 @dataclass(frozen=True)
 class Hits:
     """A hit DataFrame plus a measured bound: the number of candidate
@@ -231,10 +262,9 @@ def compute_hits(
     with_invoices: bool = True,
 ) -> Hits:
     """``watchlist_hits`` with the measured candidate bound kept."""
-    watchlist = named_watchlist(tables, list_name, limits)
-    cand, keys = materialize_and_measure(hit_candidates(tables, window, watchlist), CANDIDATE_KEYS, limits)
-    rows = enrich_candidates(tables, cand, keys, watchlist, with_invoices, limits)
-    return Hits(rows, keys["transaction_id"].count, limits)
+    c = measured_candidates(tables, window, list_name, limits)
+    rows = enrich_candidates(tables, c.rows, c.keys, c.watchlist, with_invoices, limits)
+    return Hits(rows, c.keys["transaction_id"].count, limits)
 
 
 def watchlist_hits(
