@@ -164,7 +164,8 @@ def tables_from_jdbc(
     ``num_partitions`` range queries between the column's MIN and MAX, which
     one small query fetches first; the others are read in one query each.
     """
-    props = dict(properties)
+    # A database DATE or TIMESTAMP without a zone is read as TIMESTAMP_NTZ, as in ``schemas``.
+    props = {"preferTimestampNTZ": "true", **properties}
     partition_columns = dict(partition_columns or {})
 
     def lower(df: DataFrame) -> DataFrame:
