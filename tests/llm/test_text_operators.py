@@ -264,3 +264,34 @@ def test_pipeline_stages(spark):
     assert {"copy_no", *docs.columns} == set(out.columns) and out.count() > 0
     assert {r.doc_id for r in out.collect()} <= set(ids)
     assert not out.where(r"text rlike 'token = \"[0-9a-f]{24,}'").count()
+
+
+def _keyed(n):
+    """Texts with a patterned finding each, or with a key that no pattern knows."""
+    r = random.Random(21)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    word = lambda: "".join(r.choice("aeioulnrst") for _ in range(r.randrange(2, 9)))
+    prose = lambda k: " ".join(word() for _ in range(k))
+    out = []
+    for i in range(n):
+        key = "".join(r.choice(letters) for _ in range(36))
+        inside = f'token = "{r.randbytes(16).hex()}"' if i % 2 else f'push with "sk_live_{key}"'
+        out.append((i, f"{prose(30)} {inside} see https://site.org/docs/part{i % 90}/HelloWorld.html and {prose(30)}"))
+    return out
+
+
+def test_unpatterned_secrets_are_no_negatives(spark):
+    d = spark.createDataFrame(_keyed(600), "doc_id long, text string")
+    x, y = secret_scan.findings(d)
+    decoded = ["".join(chr(c + 31) if c else "" for c in row[secret_scan.BEFORE : secret_scan.BEFORE + secret_scan.INSIDE]) for row in x[y == 0]]
+    assert decoded and not [t for t in decoded if "sk_live_" in t]
+    found = {r.doc_id for r in secret_scan.scan(d, secret_scan.fit(d)).where("exists(spans, s -> s.kind = 'net')").collect()}
+    assert sum(i in found for i in range(0, 600, 2)) >= 290
+
+
+def test_recall_alone_sets_the_threshold():
+    r = np.random.default_rng(1)
+    x, y = r.integers(0, secret_scan.CODES, (400, secret_scan.WINDOW)).astype(np.uint8), np.repeat([1.0, 0.0], 200)
+    net = secret_scan.Network.new()  # untrained: no threshold is precise
+    net.calibrate(x, y)
+    assert (net.probability(x[y > 0]) >= net.threshold).mean() >= secret_scan.RECALL
