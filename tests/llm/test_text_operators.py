@@ -295,3 +295,13 @@ def test_recall_alone_sets_the_threshold():
     net = secret_scan.Network.new()  # untrained: no threshold is precise
     net.calibrate(x, y)
     assert (net.probability(x[y > 0]) >= net.threshold).mean() >= secret_scan.RECALL
+
+
+def test_rare_findings_train_whatever_the_size(spark):
+    """Two matches in each of 12 texts: all texts are searched, not a sample."""
+    rows = [(i, t if i % 100 == 1 else t.replace("token", "word").replace('"', "").split(" see https")[1]) for i, t in _keyed(1200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    x, y = secret_scan.findings(d, texts=100)
+    assert (y > 0).sum() == 4 * 24 and (y == 0).sum() >= 20
+    assert secret_scan.fit(d, texts=100) is not None
+    assert (secret_scan.findings(d, texts=100, most=10)[1] > 0).sum() == 10
