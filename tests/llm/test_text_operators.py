@@ -305,3 +305,20 @@ def test_rare_findings_train_whatever_the_size(spark):
     assert (y > 0).sum() == 4 * 24 and (y == 0).sum() >= 20
     assert secret_scan.fit(d, texts=100) is not None
     assert (secret_scan.findings(d, texts=100, most=10)[1] > 0).sum() == 10
+
+
+def test_long_candidates_are_read_to_their_end(spark):
+    """A network that looks for one character inside a candidate."""
+    assert secret_scan.places(5, 40) == [5]
+    for n in range(1, 400):
+        at = secret_scan.places(7, 7 + n)
+        assert {i for p in at for i in range(p, min(p + secret_scan.INSIDE, 7 + n))} == set(range(7, 7 + n))
+    net = secret_scan.Network.new()
+    net.embed[:], net.conv[:], net.out[:], net.threshold = 0, 0, 0, 0.5
+    net.embed[ord("Z") - 31, 0] = net.conv[0, 0] = 1
+    net.out[secret_scan.FILTERS], net.out[-1] = 10, -5
+    path = "docs/part1/" * 9
+    rows = [(1, f"see {path}Z{path} x"), (2, f"see {path}{path} x"), (3, f"see docs/part1/Z{path} x"), (4, f"see {path}docs/Zpart1 Z x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [s.kind for s in r.spans] for r in secret_scan.scan(d, net).collect()}
+    assert got == {1: ["net"], 2: [], 3: ["net"], 4: ["net"]}
