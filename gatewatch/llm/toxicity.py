@@ -71,11 +71,13 @@ def _apply(w: np.ndarray, rows, more: np.ndarray, v: int) -> np.ndarray:
     return 1 / (1 + np.exp(-(score + more @ w[v:-1] + w[-1])))
 
 
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """Least threshold that reaches the precision out of fold, at least 1/2."""
+def _threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """Least threshold that reaches the precision out of fold, at least 1/2.
+    ``weight``: labelled rows that a sampled row stands for."""
     by = np.argsort(-p)
-    right = np.cumsum(y[by]) / np.arange(1, len(p) + 1)
-    good = np.flatnonzero(right >= PRECISION)
+    right = np.cumsum((weight * y)[by]) / np.cumsum(weight[by])
+    # Equal probabilities pass together.
+    good = np.flatnonzero((right >= PRECISION) & np.append(np.diff(p[by]) != 0, True))
     return float(max(0.5, p[by][good[-1]])) if len(good) else 1.0
 
 
@@ -88,7 +90,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, str]
     flags = [F.expr(c).alias(n) for n, c in categories]
     lab = labels.select("doc_id", *flags).where(F.col("doc_id").isNotNull() & F.col(names[0]).isNotNull()).dropDuplicates(["doc_id"])
     counts = {r[0]: r[1] for r in lab.groupBy(names[0]).count().collect()}
-    rate = F.when(F.col(names[0]), min(1.0, rows / max(1, counts.get(True, 0)))).otherwise(min(1.0, rows / max(1, counts.get(False, 0))))
+    rates = {k: min(1.0, rows / max(1, counts.get(k, 0))) for k in (True, False)}
+    rate = F.when(F.col(names[0]), rates[True]).otherwise(rates[False])
     lab = staged(lab.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0 < rate), "toxic-labels")
     text = docs.select("doc_id", "text").join(sized(lab), "doc_id").dropDuplicates(["doc_id"])
     found = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TOKEN_SQL), F.lit(0)))
@@ -111,6 +114,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, str]
     x = [np.array([words[t] for t in r["words"]], np.int64) for r in rows_]
     fold = np.arange(len(x)) % FOLDS
     v, earlier = len(words), np.zeros((len(x), 0))
+    stands = np.array([1 / rates[r[names[0]]] for r in rows_])
     weights, thresholds = [], []
     for name in names:
         y = np.array([bool(r[name]) for r in rows_])
@@ -126,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[tuple[str, str]
                 out[test] = _apply(wf, [x[i] for i in test], earlier[test], v)
             w_ = _logistic(x, earlier, y, v)
         weights.append(w_)
-        thresholds.append(_threshold(out, y))
+        thresholds.append(_threshold(out, y, stands))
         earlier = np.column_stack([earlier, out])
     return ToxicityModel(words, names, weights, thresholds)
 

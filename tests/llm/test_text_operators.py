@@ -322,3 +322,17 @@ def test_long_candidates_are_read_to_their_end(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: [s.kind for s in r.spans] for r in secret_scan.scan(d, net).collect()}
     assert got == {1: ["net"], 2: [], 3: ["net"], 4: ["net"]}
+
+
+def test_toxicity_precision_is_that_of_the_whole_table(spark):
+    """One word stands in most toxic and in a few of many other texts: precise
+    on a sample of as many of each answer, not on the table."""
+    rows = []
+    for i in range(3000):
+        toxic, k = i % 10 == 0, i // 10
+        bad = (["vile"] if k % 20 else []) + (["wretch"] if k % 2 else []) if toxic else (["vile"] if i % 67 == 1 else [])
+        rows.append((i, " ".join(["plain", f"w{i % 7}", *bad]), int(toxic)))
+    d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit(d.select("doc_id", "text"), d.selectExpr("doc_id", "toxic", "1 AS quality"), rows=300)
+    marked = [r.truth for r in toxicity.score(d.selectExpr("doc_id", "text", "toxic AS truth"), model, keep=("truth",)).where("toxic").collect()]
+    assert sum(marked) >= 100 and sum(marked) >= 0.98 * len(marked)
