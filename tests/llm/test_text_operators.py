@@ -336,3 +336,24 @@ def test_toxicity_precision_is_that_of_the_whole_table(spark):
     model = toxicity.fit(d.select("doc_id", "text"), d.selectExpr("doc_id", "toxic", "1 AS quality"), rows=300)
     marked = [r.truth for r in toxicity.score(d.selectExpr("doc_id", "text", "toxic AS truth"), model, keep=("truth",)).where("toxic").collect()]
     assert sum(marked) >= 100 and sum(marked) >= 0.98 * len(marked)
+
+
+HEADERS = {
+    "gpl": "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.",
+    "bsd": "* Redistribution and use in source and binary forms, with or without\n* modification, are permitted provided that the following conditions are met:",
+    "mpl": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "apache": 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at',
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files",
+}
+
+
+def test_licenses_over_line_ends_and_of_several_families(spark, docs):
+    model = licenses.fit(docs)
+    rows = [(f, f"Copyright 2020 A. Author\n\n{t}\n\nimport os") for f, t in HEADERS.items()]
+    rows.append(("two", "Released under the MIT License. Licensed under the Apache License, Version 2.0."))
+    rows.append(("two_lines", "Licensed under the BSD 3-Clause License.\nReleased under the MIT License."))
+    rows.append(("one", "Licensed under the Mozilla Public License, version 2.0."))
+    d = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: [(f.line, f.family) for f in r.found] for r in licenses.scan(d, model).collect()}
+    assert {k: got.pop(k) for k in HEADERS} == {k: [(2, k)] for k in HEADERS}
+    assert got == {"two": [(0, "apache"), (0, "mit")], "two_lines": [(0, "bsd"), (1, "mit")], "one": [(0, "mpl")]}
