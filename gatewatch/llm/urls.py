@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatewatch.llm.tables import staged
+from gatewatch.llm.tables import sized, staged
 from gatewatch.llm.words import ascii_lower
 
 # (rule, verdict); a rule is host/path-prefix.
@@ -26,7 +26,8 @@ RULES: tuple[tuple[str, str], ...] = (
     ("example.com/de/", "block"),
     ("org/fr/", "allow"),
 )
-# Labelled URLs used for training: a hash-ordered sample of at most this many.
+# Distinct labelled URLs the trees are fitted on: a hash-ordered sample of at
+# most this many. The statistics cover all labelled rows.
 TRAIN_ROWS = 20_000
 FOLDS = 4
 FEATURES = (
@@ -91,8 +92,14 @@ def lexical(df: DataFrame, url: str = "url") -> DataFrame:
     return d.drop("__u")
 
 
-def _stats(labelled: DataFrame, key: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """Suffix statistics by fold (for training, without the own fold) and whole.
+def _counts(labelled: DataFrame, key: str) -> DataFrame:
+    """Labelled rows, and blocked ones among them, by key and fold."""
+    return labelled.groupBy(key, "fold").agg(F.count("*").alias("__fc"), F.sum("label").alias("__fb"))
+
+
+def _stats(folds: DataFrame, key: str, name: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Key statistics by fold (for training, without the own fold; of the keys
+    in ``wanted``) and whole.
 
     Rows: key, seen (log count), block (smoothed share of blocked URLs)."""
 
@@ -100,12 +107,12 @@ def _stats(labelled: DataFrame, key: str, name: str) -> tuple[DataFrame, DataFra
         share = (F.col("__b") + 1) / (F.col("__c") + 2)
         return df.select(*by, F.log1p("__c").alias(f"{name}_seen"), share.alias(f"{name}_block"))
 
-    folds = labelled.groupBy(key, "fold").agg(F.count("*").alias("__fc"), F.sum("label").alias("__fb"))
-    whole = folds.groupBy(key).agg(F.sum("__fc").alias("__c"), F.sum("__fb").alias("__b"))
-    own = folds.join(whole, key).select(
+    whole = lambda f: f.groupBy(key).agg(F.sum("__fc").alias("__c"), F.sum("__fb").alias("__b"))
+    near = folds.join(sized(wanted.select(key).distinct()), key, "left_semi")
+    own = near.join(whole(near), key).select(
         key, "fold", (F.col("__c") - F.col("__fc")).alias("__c"), (F.col("__b") - F.col("__fb")).alias("__b")
     )
-    return shaped(own, key, "fold"), shaped(whole, key)
+    return shaped(own, key, "fold"), shaped(whole(folds), key)
 
 
 class UrlModel:
@@ -115,18 +122,27 @@ class UrlModel:
 
     def __init__(self, labelled: DataFrame, max_rows: int = TRAIN_ROWS, trees: int = 12, depth: int = 4, seed: int = 7):
         lab = labelled.where("label IS NOT NULL").select("url", F.col("label").cast("double").alias("label"))
-        order = F.xxhash64(F.coalesce("url", F.lit("")), F.lit(seed))
-        lab = lab.withColumn("__h", order).orderBy("__h", "url", "label").limit(max_rows)
-        lab = staged(lexical(lab).withColumn("fold", F.pmod("__h", F.lit(FOLDS))), "url-train")
-        self.kinds = sorted(r[0] for r in lab.select("label").distinct().collect())
+        lab = lab.withColumn("__h", F.xxhash64(F.coalesce("url", F.lit("")), F.lit(seed))).withColumn("fold", F.pmod("__h", F.lit(FOLDS)))
+        keyed = lexical(lab)
+        folds = {key: staged(_counts(keyed, key), f"url-{key}-folds") for key in ("suffix", "first")}
+        total = folds["suffix"].agg(F.sum("__fc"), F.sum("__fb")).first()
+        allowed, blocked = (total[0] or 0) - (total[1] or 0), total[1] or 0
+        self.kinds = [kind for kind, n in ((0.0, allowed), (1.0, blocked)) if n]
         self.trees = None
         if len(self.kinds) < 2:
             return
-        train, self.stats = lab, []
-        for key, name in (("suffix", "suffix"), ("first", "first")):
-            own, whole = _stats(lab, key, name)
+        # Distinct URLs, so that a hot one does not fill the sample.
+        urls = lab.dropDuplicates(["url", "label"])
+        sample = staged(urls.orderBy("__h", "url", "label").limit(max_rows), "url-sample")
+        there = {r[0] for r in sample.select("label").distinct().collect()}
+        for kind in set(self.kinds) - there:  # too rare to be in the sample
+            sample = sample.union(urls.where(F.col("label") == kind).orderBy("__h", "url").limit(max(1, max_rows // 100)))
+        keys = train = staged(lexical(sample), "url-train")
+        self.stats = []
+        for key in ("suffix", "first"):
+            own, whole = _stats(folds[key], key, key, keys)
             train = train.join(own, [key, "fold"], "left")
-            self.stats.append((key, staged(whole, f"url-{name}")))
+            self.stats.append((key, staged(whole, f"url-{key}")))
         gbt = GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, maxBins=32)
         train = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(train.fillna(0.0, FEATURES))
         self.trees = gbt.fit(train.select("features", "label").coalesce(4))
@@ -136,8 +152,7 @@ class UrlModel:
         if self.trees is None:
             return df.withColumn("p_block", F.lit(self.kinds[0] if self.kinds else 0.0))
         for key, whole in self.stats:
-            # At most TRAIN_ROWS suffixes: the bound of the labelled sample.
-            df = df.join(F.broadcast(whole), key, "left")
+            df = df.join(sized(whole), key, "left")
         df = df.fillna({c: 0.0 for c in FEATURES if c.endswith("_seen")} | {c: 0.5 for c in FEATURES if c.endswith("_block")})
         df = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(df)
         return self.trees.transform(df).withColumn("p_block", vector_to_array("probability")[1])

@@ -357,3 +357,17 @@ def test_licenses_over_line_ends_and_of_several_families(spark, docs):
     got = {r.doc_id: [(f.line, f.family) for f in r.found] for r in licenses.scan(d, model).collect()}
     assert {k: got.pop(k) for k in HEADERS} == {k: [(2, k)] for k in HEADERS}
     assert got == {"two": [(0, "apache"), (0, "mit")], "two_lines": [(0, "bsd"), (1, "mit")], "one": [(0, "mpl")]}
+
+
+def test_url_statistics_cover_all_labelled_rows(spark):
+    rows = [(f"http://h{i}.rare.biz/go/{i}", 1.0) for i in range(200)] + [(f"http://site{i}.org/page{i}", 0.0) for i in range(400)]
+    hot = [("http://hot.com/x", 0.0)] * 3000
+    model = urls.UrlModel(spark.createDataFrame(rows + hot, "url string, label double"), max_rows=60)
+    new = urls.lexical(spark.createDataFrame([("http://new.rare.biz/go/a",), ("http://hot.com/x",), ("http://un.known/y",)], "url string"))
+    got = {r.suffix: r for r in model.block_probability(new).collect()}
+    assert abs(got["rare.biz"].suffix_seen - np.log1p(200)) < 1e-9 and abs(got["rare.biz"].first_seen - np.log1p(200)) < 1e-9
+    assert abs(got["hot.com"].suffix_seen - np.log1p(3000)) < 1e-9 and got["un.known"].suffix_seen == 0
+    assert got["rare.biz"].p_block > 0.5 > got["hot.com"].p_block
+    few = [("http://b.biz/1", 1.0), ("http://b.biz/2", 1.0)]
+    one = urls.UrlModel(spark.createDataFrame([(f"http://a.org/{i}", 0.0) for i in range(500)] + few, "url string, label double"), max_rows=2)
+    assert one.kinds == [0.0, 1.0] and one.trees is not None
