@@ -47,6 +47,14 @@ RULES: tuple[Rule, ...] = (
     Rule("stop_words", "100 * n_stop_words - 2 * n_words", lo=0),
     Rule("duplicate_lines", "100 * n_dup_lines - 50 * n_lines", hi=0),
 )
+# For whole corpora, where no SQL fixes the rules: long texts may stay, and the
+# stop words decide only on texts they cover.
+CORPUS_RULES: tuple[Rule, ...] = tuple(
+    Rule(r.name, r.measure, lo=r.lo) if r.name == "words"
+    else Rule(r.name, f"CASE WHEN covered THEN {r.measure} ELSE 0 END", r.lo, r.hi) if r.name == "stop_words"
+    else r
+    for r in RULES
+)
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words")
 
 
@@ -128,8 +136,21 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", ke
     return m.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & verdict(rules)})
 
 
-def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns unchanged, that ``judge`` keeps."""
-    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"))
-    good = judge(packed, rules, "text", ("row",)).where("kept")
+def covered(text: Column, lang: Column | None = None) -> Column:
+    """Whether the stop words cover a text: half of its letters at least are
+    Latin, and its language, where one is given, is listed."""
+    t = F.coalesce(text, F.lit(""))
+    latin = 2 * F.regexp_count(t, F.lit(r"\p{IsLatin}")) >= F.regexp_count(t, F.lit(r"\p{L}"))
+    if lang is None:
+        return latin
+    code = F.lower(F.regexp_extract(F.coalesce(lang, F.lit("")), "^[A-Za-z]*", 0))
+    return latin & code.isin("", "und", *STOP_WORDS)
+
+
+def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", lang: str | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that ``judge`` keeps. Rules
+    may use ``covered``; ``lang`` names a column with the language."""
+    over = covered(F.col(f"`{text}`"), F.col(f"`{lang}`") if lang else None)
+    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"), over.alias("covered"))
+    good = judge(packed, rules, "text", ("row", "covered")).where("kept")
     return good.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

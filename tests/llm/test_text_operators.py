@@ -371,3 +371,19 @@ def test_url_statistics_cover_all_labelled_rows(spark):
     few = [("http://b.biz/1", 1.0), ("http://b.biz/2", 1.0)]
     one = urls.UrlModel(spark.createDataFrame([(f"http://a.org/{i}", 0.0) for i in range(500)] + few, "url string, label double"), max_rows=2)
     assert one.kinds == [0.0, 1.0] and one.trees is not None
+
+
+def test_pipeline_keeps_long_texts_and_other_languages(spark):
+    import corpus_pipeline as p
+
+    r = random.Random(8)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randrange(3, 9)))
+    text = lambda n, letters, often: " ".join(often if i % 9 == 0 else word(letters) for i in range(n))
+    latin, russian = "abcdefghijklmnoprstuvw", "абвгдежзиклмнопрстуф"
+    rows = [
+        (1, text(100_200, latin, "the"), "en"), (2, text(300, russian, "что"), "ru"), (3, text(300, russian, "что"), None),
+        (4, text(300, latin, "oraz"), "pl"), (5, text(300, latin, "zzz"), "en"), (6, text(40, russian, "что"), "ru"), (7, None, None), (8, text(300, latin, "zzz"), None),
+    ]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {x.doc_id for x in p.quality_rules(spark, d, "").collect()} == {1, 2, 3, 4}
+    assert p.quality_rules(spark, d, "").columns == d.columns
