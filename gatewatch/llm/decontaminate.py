@@ -127,7 +127,10 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that contain no item; all columns unchanged. Rows
-    without an id cannot be named in a result and are kept."""
-    leaks = staged(find_leaks(docs, items, text, key).select(F.col("doc_id").alias(key)).where(F.col(key).isNotNull()).distinct(), "leak-ids")
-    return keep_where(docs, leaks, [key], "left_anti")
+    """The rows of ``docs`` that contain no item; all columns unchanged. Each
+    row is decided by its own text, whatever its id, by a 128-bit digest."""
+    digest = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
+    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"), digest.alias("digest"))
+    leaks = staged(find_leaks(packed, items, "text", "digest").select(F.col("doc_id").alias("digest")).distinct(), "leak-ids")
+    kept = keep_where(packed.select("row", "digest"), leaks, ["digest"], "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

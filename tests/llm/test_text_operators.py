@@ -387,3 +387,13 @@ def test_pipeline_keeps_long_texts_and_other_languages(spark):
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {x.doc_id for x in p.quality_rules(spark, d, "").collect()} == {1, 2, 3, 4}
     assert p.quality_rules(spark, d, "").columns == d.columns
+
+
+def test_leaks_are_dropped_by_row(spark):
+    leak = "one two three four five six seven eight nine ten"
+    rows = [(None, f"here {leak} there"), (None, "a clean text without an id at all"), (4, f"again {leak}"), (4, "a clean text of the same id"), (5, leak), (6, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    left = decontaminate.drop_leaks(d, items)
+    assert left.columns == d.columns
+    assert Counter(tuple(r) for r in left.collect()) == Counter([rows[1], rows[3], rows[5]])
