@@ -76,4 +76,47 @@ c AS (SELECT doc_id, item_id, count(*) AS n_shared FROM x JOIN q USING (s) GROUP
 SELECT doc_id, item_id, n_item, n_shared FROM c JOIN n USING (item_id) WHERE 100 * n_shared >= 75 * n_item
 """
 
-ORACLE = {"op2_source_mix": MIX, "op3_quality_rules": QUALITY, "op8_benchmark_leaks": LEAKS}
+# Every order is applied step by step: a document goes at the first filter of
+# the order that it fails. Documents that fail the same filters go together.
+INTERACTIONS = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_W}') AS w FROM documents
+), l AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id
+), o AS (
+  SELECT text, min(doc_id) AS first FROM d GROUP BY text
+), v AS (
+  SELECT part, len(w) < 200 AS a, 100 * len(list_distinct(w)) < 50 * len(w) AS b,
+    100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(doc_id > first, false) AS e, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM d JOIN o USING (text) LEFT JOIN l USING (doc_id)
+), g AS (
+  SELECT part, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END)
+      || (CASE WHEN d THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS failed,
+    count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM v GROUP BY ALL
+), f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), p AS (
+  SELECT f1.x || f2.x || f3.x || f4.x || f5.x AS filter_order FROM f f1, f f2, f f3, f f4, f f5
+  WHERE len(list_distinct([f1.x, f2.x, f3.x, f4.x, f5.x])) = 5
+), s AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS x FROM p, range(1, 6) t(step)
+), h AS (
+  SELECT part, failed, n, good, toxic, filter_order,
+    (SELECT min(strpos(filter_order, y)) FROM (SELECT unnest(string_split(failed, '')) AS y) WHERE failed <> '') AS gone
+  FROM g, p
+), r AS (
+  SELECT part, s.filter_order, step, x,
+    coalesce(sum(n) FILTER (WHERE gone IS NULL OR gone > step), 0) AS kept, coalesce(sum(n) FILTER (WHERE gone = step), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE strpos(failed, x) > 0 AND gone < step), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE failed = x), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE gone = step), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE gone = step), 0) AS toxic_lost
+  FROM h JOIN s USING (filter_order) GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM r
+"""
+
+ORACLE = {"op2_source_mix": MIX, "op3_quality_rules": QUALITY, "op8_benchmark_leaks": LEAKS, "op11_filter_interactions": INTERACTIONS}

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.llm import decontaminate, jaccard, language, licenses, mixing, quality, secret_scan, substrings, toxicity, urls
+from gatewatch.llm import decontaminate, interactions, jaccard, language, licenses, mixing, quality, secret_scan, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,10 @@ def op10_secret_scan(spark, sf_dir):
     return found.select("doc_id", *[count(k) for k in ("assign", "access", "hex")], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+def op11_filter_interactions(spark, sf_dir):
+    return interactions.audit(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -83,6 +87,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_source_mix, op3_quality_rules, op4_license_scan, op5_ngram_jaccard, op6_substring_dedup,
-        op7_language_id, op8_benchmark_leaks, op9_toxicity, op10_secret_scan, pipeline,
+        op7_language_id, op8_benchmark_leaks, op9_toxicity, op10_secret_scan, op11_filter_interactions, pipeline,
     )
 }
