@@ -3,10 +3,11 @@ over its whole tables with production parameters."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewatch.llm import decontaminate, interactions, jaccard, language, licenses, mixing, quality, secret_scan, substrings, toxicity, urls
+from gatewatch.llm import alignment, byte_bpe, decontaminate, interactions, jaccard, language, licenses, mixing, quality, secret_scan, substrings, toxicity, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +78,19 @@ def op11_filter_interactions(spark, sf_dir):
     return interactions.audit(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
+def op12_byte_bpe(spark, sf_dir):
+    vocabulary = byte_bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    out = byte_bpe.decode(byte_bpe.encode(docs, vocabulary), vocabulary)
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    pair = alignment.Pair.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return alignment.align_documents(_documents(spark, sf_dir), pair)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -87,6 +101,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_source_mix, op3_quality_rules, op4_license_scan, op5_ngram_jaccard, op6_substring_dedup,
-        op7_language_id, op8_benchmark_leaks, op9_toxicity, op10_secret_scan, op11_filter_interactions, pipeline,
+        op7_language_id, op8_benchmark_leaks, op9_toxicity, op10_secret_scan, op11_filter_interactions, op12_byte_bpe, op13_tokenizer_alignment, pipeline,
     )
 }
