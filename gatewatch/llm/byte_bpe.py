@@ -68,23 +68,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def literal_map(entries: dict[bytes, object], value_type: str) -> Lookup:
-    """A literal map: binary column -> value, or null where there is none."""
+def with_map(entries: dict[bytes, object], value_type: str, body: Callable[[Lookup], Column]) -> Column:
+    """``body(lookup)``, where lookup gives a binary column's value in a literal
+    map, or null. The literal stands once in the expression, however often it is
+    looked up: each more would be planned and sent to the tasks again."""
     keys: list[list[str]] = [[] for _ in range(BUCKETS)]
     values: list[list] = [[] for _ in range(BUCKETS)]
     for k, v in entries.items():
         at = zlib.crc32(k) % BUCKETS
         keys[at].append(base64.b64encode(k).decode())
         values[at].append(v)
-    table = lambda x, t: F.from_json(F.lit(json.dumps(x, separators=(",", ":"))), f"array<array<{t}>>")
-    k, v = table(keys, "binary"), table(values, value_type)
+    text = json.dumps({"k": keys, "v": values}, separators=(",", ":"))
+    table = F.from_json(F.lit(text), f"k array<array<binary>>, v array<array<{value_type}>>")
 
-    def lookup(x: Column) -> Column:
+    def lookup(t: Column, x: Column) -> Column:
         at = (F.crc32(x) % BUCKETS).cast("int")
-        found = lambda i: F.get(F.get(v, i), (F.array_position(F.get(k, i), x) - 1).cast("int"))
+        found = lambda i: F.get(F.get(t["v"], i), (F.array_position(F.get(t["k"], i), x) - 1).cast("int"))
         return let(at, found)
 
-    return lookup
+    return let(table, lambda t: body(lambda x: lookup(t, x)))
 
 
 def fold(word: Column, rank: Lookup) -> Column:
@@ -150,14 +152,16 @@ def words(text: Column, vocabulary: Vocabulary) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(vocabulary.pattern)), F.lit(0))
 
 
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, rank: Lookup, text: str = "text", share: int = SHARE) -> dict[bytes, list[int]]:
+def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", share: int = SHARE) -> dict[bytes, list[int]]:
     """Ids of the distinct words that make up at least 1/``share`` of all words
     and are no token themselves: at most ``share`` of them."""
     counts = docs.select(F.explode(words(F.col(f"`{text}`"), vocabulary)).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     counts = staged(counts.where(F.octet_length("w") <= LONG), "bpe-words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    often = counts.where((F.col("n") * share >= total) & rank(F.col("w").cast("binary")).isNull())
-    rows = often.repartition("w").select(F.col("w").cast("binary").alias("w"), fold(F.col("w").cast("binary"), rank).alias("ids")).collect()
+    often = counts.where(F.col("n") * share >= total).select(F.col("w").cast("binary").alias("w"))
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = with_map(vocabulary.ranks, "int", lambda rank: F.when(rank(F.col("w")).isNull(), fold(F.col("w"), rank)))
+    rows = often.repartition(spread, "w").select("w", ids.alias("ids")).where("ids IS NOT NULL").collect()
     return {bytes(w): list(ids) for w, ids in rows}
 
 
@@ -181,20 +185,20 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     length are encoded whole. Every single byte must be a token. A column of
     the name ``ids`` is replaced; all others stay. No rows give no rows.
     """
-    rank = literal_map(vocabulary.ranks, "int")
-    often = frequent_words(docs, vocabulary, rank, text, share)
-    known = literal_map({**often, **{k: [v] for k, v in vocabulary.ranks.items()}}, "array<int>")
+    often = frequent_words(docs, vocabulary, text, share)
+    whole = {**often, **{k: [v] for k, v in vocabulary.ranks.items()}}
     w, w_ids = "__words", "__long_ids"
     d = docs.withColumn(w, words(F.col(f"`{text}`"), vocabulary))
     long = lambda x: F.octet_length(x) > LONG
     only_long = F.when(F.exists(w, long), F.transform(w, lambda x: F.when(long(x), x)))
     d = d.withColumn(w_ids, _merge_long_words(vocabulary.ranks)(only_long))
 
-    def one(x: Column, i: Column) -> Column:
-        b = x.cast("binary")
-        return F.when(long(x), F.get(w_ids, i)).otherwise(F.coalesce(known(b), fold(b, rank)))
+    def one(x: Column, i: Column, rank: Lookup, known: Lookup) -> Column:
+        return let(x.cast("binary"), lambda b: F.when(long(x), F.get(w_ids, i)).otherwise(F.coalesce(known(b), fold(b, rank))))
 
-    return d.withColumn(ids, F.flatten(F.transform(w, one))).drop(w, w_ids)
+    each = lambda rank, known: F.flatten(F.transform(w, lambda x, i: one(x, i, rank, known)))
+    found = with_map(vocabulary.ranks, "int", lambda rank: with_map(whole, "array<int>", lambda known: each(rank, known)))
+    return d.withColumn(ids, found).drop(w, w_ids)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "bytes") -> DataFrame:
@@ -205,5 +209,5 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "
     for k, v in vocabulary.ranks.items():
         pieces[v] = k.hex()
     table = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-    piece = lambda i: F.coalesce(F.get(table, i), F.raise_error(F.concat(F.lit("no token has the id "), i.cast("string"))))
-    return df.withColumn(out, F.unhex(F.array_join(F.transform(ids, piece), "")))
+    piece = lambda t, i: F.coalesce(F.get(t, i), F.raise_error(F.concat(F.lit("no token has the id "), i.cast("string"))))
+    return df.withColumn(out, let(table, lambda t: F.unhex(F.array_join(F.transform(ids, lambda i: piece(t, i)), ""))))
