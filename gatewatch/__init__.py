@@ -15,12 +15,12 @@ from gatewatch.plans.reports import (
 )
 from gatewatch.plans.slots import SLOTS, slot_window, slot_windows
 from gatewatch.sources.fixtures import fixture_tables
+from gatewatch.sources.jdbc import tables_from_jdbc
 from gatewatch.sources.report_store import ReportStore
 from gatewatch.sources.tables import (
     TollTables,
     Window,
     tables_from_frames,
-    tables_from_jdbc,
     tables_from_parquet,
 )
 

@@ -4,9 +4,10 @@
     python -m gatewatch check A --date 2024-01-12 --store /data/reports --list ASIA [--rerun --tables ...]
 
 Slots are given by code (A, B, C, D) or name (DAY, NIGHT, DAY-1, AFTERNOON).
-``--tables`` is ``parquet:ROOT`` (one folder per logical table) or
-``fixture:SF_DIR`` (the fixture views over the driver tables). ``check``
-exits with status 1 while the report is missing.
+``--tables`` is ``parquet:ROOT`` (one folder per logical table), a database
+URL (``jdbc:...``, with ``--jdbc-options FILE.json``: table names, user, number
+of parallel queries) or ``fixture:SF_DIR`` (the fixture views over the driver
+tables). ``check`` exits with status 1 while the report is missing.
 """
 
 from __future__ import annotations
@@ -22,17 +23,20 @@ from gatewatch.plans.reports import build_report
 from gatewatch.plans.slots import slot
 from gatewatch.session import RECOMMENDED_CONF, ensure_checkpoint_dir
 from gatewatch.sources.fixtures import fixture_tables
+from gatewatch.sources.jdbc import tables_from_jdbc_file
 from gatewatch.sources.report_store import ReportStore
 from gatewatch.sources.tables import TollTables, tables_from_parquet
 
 
-def _tables(spark: SparkSession, spec: str, day_column: str | None) -> TollTables:
+def _tables(spark: SparkSession, spec: str, day_column: str | None, jdbc_options: str | None = None) -> TollTables:
     kind, _, where = spec.partition(":")
+    if kind == "jdbc":
+        return tables_from_jdbc_file(spark, spec, jdbc_options)
     if kind == "parquet":
         return tables_from_parquet(spark, where, day_column)
     if kind == "fixture":
         return fixture_tables(spark, where)
-    raise SystemExit(f"unknown --tables {spec!r}: use parquet:ROOT or fixture:SF_DIR")
+    raise SystemExit(f"unknown --tables {spec!r}: use parquet:ROOT, jdbc:URL or fixture:SF_DIR")
 
 
 def _session() -> SparkSession:
@@ -56,6 +60,7 @@ def _parser() -> argparse.ArgumentParser:
         c.add_argument("--list", dest="list_name", required=True)
         c.add_argument("--tables")
         c.add_argument("--day-column")
+        c.add_argument("--jdbc-options", help="JSON file: table_names, properties, num_partitions, time_column, split_columns, hash_sql")
         c.add_argument("--url-prefix", default="")
         if name == "check":
             c.add_argument("--rerun", action="store_true", help="run the slot once if its report is missing")
@@ -71,7 +76,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     def run() -> int:
         if not args.tables:
             raise SystemExit("--tables is required to run a slot")
-        tables = _tables(spark, args.tables, args.day_column)
+        tables = _tables(spark, args.tables, args.day_column, args.jdbc_options)
         n = build_report(tables, store, s.name, args.date, args.list_name, args.url_prefix)
         print(f"{s.name} {args.date}: {n} rows")
         return 0

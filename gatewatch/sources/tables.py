@@ -142,78 +142,3 @@ def tables_from_parquet(spark: SparkSession, root: str, day_column: str | None =
     names = list(GATE_TABLES.values()) + list(CAMERA_TABLES.values()) + list(OTHER_TABLES)
     frames = {name: spark.read.parquet(f"{root}/{name}") for name in names}
     return tables_from_frames(frames, day_column)
-
-
-def tables_from_jdbc(
-    spark: SparkSession,
-    url: str,
-    table_names: Mapping[str, str],
-    properties: Mapping[str, str],
-    num_partitions: int = 64,
-    time_column: str = "TRANSACTION_DATE",
-    partition_columns: Mapping[str, str] | None = None,
-) -> TollTables:
-    """Tables read from a database with Spark's JDBC source.
-
-    ``table_names`` maps each logical name to a database table. Column names
-    are lower-cased. A gate scan with a window becomes a parallel range read
-    on ``time_column`` (``numPartitions`` concurrent queries, each with a
-    pushed ``WHERE``); without a window the table is read in one query.
-    Large lookup tables named in ``partition_columns`` (logical name ->
-    numeric column, e.g. the camera tables' ``TRANSACTION_ID``) are read as
-    ``num_partitions`` range queries between the column's MIN and MAX, which
-    one small query fetches first; the others are read in one query each.
-    """
-    # A database DATE or TIMESTAMP without a zone is read as TIMESTAMP_NTZ, as in ``schemas``.
-    props = {"preferTimestampNTZ": "true", **properties}
-    partition_columns = dict(partition_columns or {})
-
-    def lower(df: DataFrame) -> DataFrame:
-        return df.select([F.col(c).alias(c.lower()) for c in df.columns])
-
-    def read(name: str) -> DataFrame:
-        table = table_names[name]
-        column = partition_columns.get(name)
-        if column is None:
-            return lower(spark.read.jdbc(url, table, properties=props))
-        bounds = spark.read.jdbc(
-            url, f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) b", properties=props
-        ).first()
-        lo, hi = bounds[0], bounds[1]
-        if lo is None:
-            return lower(spark.read.jdbc(url, table, properties=props))
-        return lower(
-            spark.read.jdbc(
-                url,
-                table,
-                column=column,
-                lowerBound=int(lo),
-                upperBound=int(hi) + 1,
-                numPartitions=num_partitions,
-                properties=props,
-            )
-        )
-
-    def gate_scan(name: str) -> GateScan:
-        def scan(window: Window | None) -> DataFrame:
-            if window is None:
-                return read(name)
-            df = spark.read.jdbc(
-                url,
-                table_names[name],
-                column=time_column,
-                lowerBound=window.lo.strftime("%Y-%m-%d %H:%M:%S"),
-                upperBound=(window.hi + timedelta(seconds=1)).strftime("%Y-%m-%d %H:%M:%S"),
-                numPartitions=num_partitions,
-                properties=props,
-            )
-            out = lower(df)
-            return out.where(F.col("transaction_date").between(window.lo_lit(), window.hi_lit()))
-
-        return scan
-
-    return TollTables(
-        gate={kind: gate_scan(name) for kind, name in GATE_TABLES.items()},
-        camera={kind: read(name) for kind, name in CAMERA_TABLES.items()},
-        **{name: read(name) for name in OTHER_TABLES},
-    )
