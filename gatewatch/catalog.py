@@ -14,8 +14,10 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gatewatch.functions.columns import vehicle_class_code, vehicle_class_name
+from gatewatch.operators.broadcast import interval_cover
 from gatewatch.operators.enrich import (
     back_camera_left_join,
     camera_left_join,
@@ -34,14 +36,25 @@ from gatewatch.operators.transactions import (
     singleton_groups,
 )
 from gatewatch.operators.watchlist import WATCHLIST_COLUMNS, watchlist_like_join, watchlist_type_filter
+from gatewatch.plans.backfill import run_reports, stale_reports
 from gatewatch.plans.completeness import expected_reports, missing_reports
-from gatewatch.plans.hits import Candidates, enrich_candidates, hit_ids, measured_candidates, watchlist_hits
+from gatewatch.plans.hits import (
+    Candidates,
+    HitLimits,
+    enrich_candidates,
+    hit_ids,
+    materialize_and_measure,
+    measured_candidates,
+    watchlist_hits,
+)
 from gatewatch.plans.pictures import picture_names, picture_table
 from gatewatch.plans.reports import report_columns, report_width_profile
-from gatewatch.plans.slots import excluded_reports, slot_window, slot_windows, calendar_days
+from gatewatch.plans.slots import SLOT_NAMES, excluded_reports, slot_window, slot_windows, calendar_days
 from gatewatch.schemas import GATE_TXN, SOURCE_ROW_COLUMNS
-from gatewatch.sources.fixtures import fixture_tables, stored_ids, stored_pictures, stored_runs
-from gatewatch.sources.tables import TollTables, Window
+from gatewatch.session import stage_path
+from gatewatch.sources.fixtures import fixture_tables, stored_ids, stored_pictures, stored_run_records, stored_runs
+from gatewatch.sources.report_store import ReportStore
+from gatewatch.sources.tables import MEMBER, TollTables, Window
 
 LIST_NAME = "ASIA"
 RUN_DATE = date(2024, 1, 12)
@@ -238,7 +251,47 @@ def q_picture_scale(spark, sf_dir):
     return picture_table(picture_names(_tables(spark, sf_dir).watchlist_master), stored_pictures(spark, sf_dir))
 
 
+def q_stale_reports(spark, sf_dir):
+    return stale_reports(stored_run_records(spark, sf_dir))
+
+
+def _day_in_store(spark: SparkSession, sf_dir: str) -> ReportStore:
+    """A new store, under the shared checkpoint folder, with the four reports
+    of the run date."""
+    store = ReportStore(spark, stage_path(spark, "reports"))
+    nodes = [(RUN_DATE, s) for s in SLOT_NAMES]
+    run_reports(_tables(spark, sf_dir), store, nodes, LIST_NAME, URL_PREFIX)
+    return store
+
+
+def q_stored_reports(spark, sf_dir):
+    return _day_in_store(spark, sf_dir).reports()
+
+
+def q_report_of_id(spark, sf_dir):
+    # Which report listed each member transaction.
+    ids = _tables(spark, sf_dir).transactions(MEMBER).select("transaction_id")
+    return _day_in_store(spark, sf_dir).find(ids)
+
+
+def q_camera_lookup_reduced(spark, sf_dir):
+    # The lookback window's member ids, with the first and the last id of the
+    # table as outliers, which stretch one range over all cameras.
+    t = _tables(spark, sf_dir)
+    own = paid_active(t.transactions(MEMBER, LOOKBACK)).select("transaction_id")
+    ends = t.transactions(MEMBER).agg(F.min("transaction_id").alias("lo"), F.max("transaction_id").alias("hi"))
+    ids = own.union(ends.select(F.explode(F.array("lo", "hi"))))
+    ids, keys = materialize_and_measure(ids, ["transaction_id"], HitLimits())
+    k = keys["transaction_id"]
+    k = replace(k, cover=interval_cover(ids, "transaction_id", k.lo, k.hi))
+    return k.restrict(t.camera[MEMBER], "transaction_id")
+
+
 QUERIES: dict[str, Query] = {
+    "stale_reports": q_stale_reports,
+    "stored_reports": q_stored_reports,
+    "report_of_id": q_report_of_id,
+    "camera_lookup_reduced": q_camera_lookup_reduced,
     "rollback_left_join": q_rollback_left_join,
     "missing_reports": q_missing_reports,
     "fresh_against_stored": q_fresh_against_stored,

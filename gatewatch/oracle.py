@@ -72,6 +72,11 @@ FIXTURE_VIEWS["report_runs"] = (
     "CASE event_type WHEN 'click' THEN 'DAY-1' WHEN 'purchase' THEN 'DAY' WHEN 'view' THEN 'AFTERNOON' ELSE 'NIGHT' END AS slot "
     "FROM events WHERE event_id % 23 = 0"
 )
+FIXTURE_VIEWS["run_records"] = (
+    "SELECT CASE WHEN user_id % 2 = 0 THEN 'ASIA' ELSE 'OTHER' END AS list_name, CAST(ts AS DATE) AS report_date, "
+    "CASE event_type WHEN 'click' THEN 'DAY-1' WHEN 'purchase' THEN 'DAY' WHEN 'view' THEN 'AFTERNOON' ELSE 'NIGHT' END AS slot, "
+    "max(value) AS run_at FROM events GROUP BY ALL"
+)
 FIXTURE_VIEWS["stored_ids"] = "SELECT event_id AS transaction_id FROM events WHERE event_id % 5 = 0"
 FIXTURE_VIEWS["stored_pictures"] = (
     "SELECT concat(kind, '/', CAST(c_custkey AS VARCHAR), '.png') AS key, CAST(c_custkey % 700 AS INTEGER) AS width, "
@@ -258,9 +263,37 @@ def oracle_queries() -> dict[str, str]:
         fresh = f"SELECT * FROM ({hits_sql_body(*WINDOWS[slot])}) WHERE transaction_id NOT IN ({ids(BEFORE[slot])})"
         return report_projection_sql(fresh, RUN, slot, PREFIX)
 
+    # Reports of one day in a store that has no earlier days.
+    earlier = {"DAY-1": (), "DAY": ("DAY-1",), "AFTERNOON": ("DAY-1", "DAY"), "NIGHT": ("DAY-1", "DAY", "AFTERNOON")}
+
+    def of_the_day(slot: str) -> str:
+        own = hits_sql_body(*WINDOWS[slot])
+        left_out = f" WHERE transaction_id NOT IN ({ids([WINDOWS[s] for s in earlier[slot]])})" if earlier[slot] else ""
+        return report_projection_sql(f"SELECT * FROM ({own}){left_out}", RUN, slot, PREFIX)
+
+    stored = " UNION ALL ".join(f"SELECT *, '{LIST}' AS list_name FROM ({of_the_day(slot)})" for slot in WINDOWS)
+    needs = (
+        "(VALUES ('DAY-1', 2, 'DAY-1'), ('DAY-1', 2, 'DAY'), ('DAY-1', 2, 'AFTERNOON'), ('DAY-1', 2, 'NIGHT'), "
+        "('DAY-1', 1, 'DAY-1'), ('DAY-1', 1, 'DAY'), ('DAY-1', 1, 'AFTERNOON'), ('DAY-1', 1, 'NIGHT'), ('DAY', 0, 'DAY-1'), "
+        "('AFTERNOON', 0, 'DAY'), ('AFTERNOON', 0, 'DAY-1'), ('NIGHT', 0, 'DAY-1'), ('NIGHT', 0, 'DAY'), ('NIGHT', 0, 'AFTERNOON')) n(slot, back, name)"
+    )
     lookback = hits_sql_body(*WINDOWS["DAY-1"])
     lo, hi = WINDOWS["DAY-1"]
     q = {
+        "stale_reports": (
+            f"SELECT r.list_name, r.report_date, r.slot, o.report_date AS newer_date, o.slot AS newer_slot FROM run_records r, {needs}, run_records o "
+            "WHERE n.slot = r.slot AND o.slot = n.name AND o.list_name = r.list_name AND o.report_date = r.report_date - CAST(n.back AS INTEGER) "
+            "AND o.run_at > r.run_at"
+        ),
+        "stored_reports": stored,
+        "report_of_id": (
+            f"SELECT transaction_id, list_name, report_date, slot FROM ({stored}) WHERE transaction_id IN (SELECT transaction_id FROM member_txn)"
+        ),
+        "camera_lookup_reduced": (
+            f"SELECT * FROM member_camera WHERE transaction_id IN (SELECT transaction_id FROM member_txn WHERE fee_amount > 0 AND delete_flag = 0 "
+            f"AND transaction_date BETWEEN TIMESTAMP '{lo}' AND TIMESTAMP '{hi}' UNION SELECT min(transaction_id) FROM member_txn "
+            "UNION SELECT max(transaction_id) FROM member_txn)"
+        ),
         "scan_gate_txn": f"SELECT {GATE} FROM gate",
         "filter_window_inclusive": f"SELECT {GATE} FROM gate WHERE transaction_date >= TIMESTAMP '{lo}' AND transaction_date <= TIMESTAMP '{hi}'",
         "paid_active_txn": f"SELECT {GATE} FROM gate WHERE fee_amount > 0 AND delete_flag = 0",

@@ -98,8 +98,8 @@ def report_width_profile(hits: DataFrame) -> DataFrame:
     )
 
 
-def build_report(
-    tables: TollTables,
+def publish(
+    hits: DataFrame,
     store: ReportStore,
     slot_name: str,
     run_date: date,
@@ -107,11 +107,25 @@ def build_report(
     url_prefix: str,
     limits: HitLimits = HitLimits(),
 ) -> int:
-    """Run one slot for one date: hits of the slot's window, minus ids the
-    slot's earlier reports published, written to the store. Returns the row
-    count (0 still records a run)."""
+    """Write the hits of a slot's window, minus the ids that the slot's earlier
+    reports published, as the slot's report. Returns the row count (0 still
+    records a run)."""
     s = slot(slot_name)
-    hits = watchlist_hits(tables, slot_window(s.name, run_date), list_name, limits, with_invoices=False)
+    after = store.last_number(list_name, run_date, s.name)
     published, bound = store.published(list_name, excluded_reports(s.name, run_date))
     fresh = exclude_published(hits, published, limits, bound=bound)
-    return store.write(report_columns(fresh, run_date, s.name, url_prefix), list_name, run_date, s.name)
+    return store.write(report_columns(fresh, run_date, s.name, url_prefix), list_name, run_date, s.name, after)
+
+
+def build_report(
+    tables: TollTables,
+    store: ReportStore,
+    slot_name: str,
+    run_date: date,
+    list_name: str,
+    url_prefix: str,
+    limits: HitLimits = HitLimits(),
+) -> int:
+    """Run one slot for one date: the hits of its window, published."""
+    hits = watchlist_hits(tables, slot_window(slot_name, run_date), list_name, limits, with_invoices=False)
+    return publish(hits, store, slot_name, run_date, list_name, url_prefix, limits)

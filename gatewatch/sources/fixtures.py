@@ -201,16 +201,28 @@ def _build_fixture_tables(spark: SparkSession, sf_dir: str) -> TollTables:
     )
 
 
-def stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run records (list_name, report_date, slot) as an earlier deployment
-    would have left them, with gaps; derived from the events."""
+def _as_runs(events: DataFrame) -> DataFrame:
+    """Events as run records: list_name, report_date, slot, and the value, by
+    which they are ordered."""
     kinds = {"click": "DAY-1", "purchase": "DAY", "view": "AFTERNOON"}
     slot = F.lit("NIGHT")
     for kind, name in kinds.items():
         slot = F.when(F.col("event_type") == kind, name).otherwise(slot)
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id % 23 = 0")
     lists = F.when(F.col("user_id") % 2 == 0, "ASIA").otherwise("OTHER")
-    return events.select(lists.alias("list_name"), F.to_date("ts").alias("report_date"), slot.alias("slot")).distinct()
+    return events.select(lists.alias("list_name"), F.to_date("ts").alias("report_date"), slot.alias("slot"), "value")
+
+
+def stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records (list_name, report_date, slot) as an earlier deployment
+    would have left them, with gaps; derived from the events."""
+    return _as_runs(spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id % 23 = 0")).drop("value").distinct()
+
+
+def stored_run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last run of every (list_name, report_date, slot), with a run_id that
+    sorts by time; derived from all events."""
+    runs = _as_runs(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return runs.groupBy("list_name", "report_date", "slot").agg(F.max("value").alias("run_id"))
 
 
 def stored_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
