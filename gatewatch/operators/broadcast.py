@@ -1,9 +1,9 @@
 """Broadcast only behind a measured size bound; prune by measured key ranges.
 
-``bounded_broadcast`` counts the side (a distributed partial aggregation;
-not ``limit(n).count()``, whose global limit funnels up to n rows per map
-partition into one task) and hints a broadcast only when the side is within
-the bound. Beyond it the join is left to the planner, which shuffles both
+``bounded_broadcast`` counts the side's rows and bytes (a distributed partial
+aggregation; not ``limit(n).count()``, whose global limit funnels up to n rows
+per map partition into one task) and hints a broadcast only when the side is
+within the bounds. Beyond it the join is left to the planner, which shuffles both
 sides (sort-merge join, with AQE splitting skewed partitions).
 
 ``KeySet`` is a measured set of join keys (usually checkpointed): one job
@@ -42,11 +42,19 @@ REFINEMENTS = 4  # rounds in which its intervals are divided at most
 SPARSE = 1024  # key values for each key from which a range counts as wide
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side") -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if df has at most ``max_rows`` rows, else ``(df, False)``."""
-    n = df.count()
-    small = n <= max_rows
-    log.info("%s: %s rows -> %s", what, n, "broadcast" if small else "shuffle")
+def byte_size(df: DataFrame) -> Column:
+    """Bytes of a row in memory, roughly: 16 for each value, and the length of
+    text and binary values."""
+    text = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
+    return (F.lit(16 * len(df.columns)) + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))).cast("long")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "side", max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` if df has at most ``max_rows`` rows and, where
+    that is given, ``max_bytes`` bytes, else ``(df, False)``; one aggregation."""
+    n, size = df.agg(F.count(F.lit(1)), F.sum(byte_size(df)) if max_bytes is not None else F.lit(None).cast("long")).first()
+    small = n <= max_rows and (max_bytes is None or (size or 0) <= max_bytes)
+    log.info("%s: %s rows, %s bytes -> %s", what, n, size, "broadcast" if small else "shuffle")
     return (F.broadcast(df) if small else df), small
 
 
@@ -162,11 +170,8 @@ def checkpoint_and_measure(
 
 
 def checkpoint_and_size(df: DataFrame) -> tuple[DataFrame, int]:
-    """Checkpoint ``df`` and measure its bytes in the same job: 16 for each
-    value, and the length of text and binary values."""
+    """Checkpoint ``df`` and measure its bytes (``byte_size``) in the same job."""
     ensure_checkpoint_dir(df.sparkSession)
-    text = [f.name for f in df.schema.fields if f.dataType.simpleString() in ("string", "binary")]
-    size = F.lit(16 * len(df.columns)) + sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
     obs = Observation(f"size-{uuid.uuid4().hex}")
-    ck = df.observe(obs, F.sum(size.cast("long")).alias("bytes")).checkpoint(eager=True)
+    ck = df.observe(obs, F.sum(byte_size(df)).alias("bytes")).checkpoint(eager=True)
     return ck, obs.get["bytes"] or 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewatch.functions.columns import like_column, plate_text
@@ -76,19 +76,45 @@ def watchlist_plates(watchlist: DataFrame) -> DataFrame:
     )
 
 
+HEAD = 4  # literal characters at the start of a pattern that become a join key
+
+
+def pattern_key(pattern: Column) -> Column:
+    """The join key of a LIKE pattern: the whole of a pattern without wildcards,
+    the first ``HEAD`` characters of one that starts with as many literal ones,
+    the same for all others. Null for a null pattern, which matches nothing."""
+    wild = F.regexp_instr(pattern, F.lit("[%_]"))
+    head = F.concat(F.lit("^"), F.substring(pattern, 1, HEAD))
+    return F.when(wild == 0, F.concat(F.lit("="), pattern)).when(wild > HEAD, head).when(wild > 0, F.lit("*"))
+
+
+def value_keys(value: Column) -> Column:
+    """The keys of all patterns that may match a value; null for a null value."""
+    head = F.when(F.char_length(value) >= HEAD, F.concat(F.lit("^"), F.substring(value, 1, HEAD)))
+    keys = F.array_compact(F.array(F.concat(F.lit("="), value), head, F.lit("*")))
+    return F.when(value.isNotNull(), keys)
+
+
 def watchlist_like_join(df: DataFrame, watchlist: DataFrame, watchlist_small: bool = False) -> DataFrame:
     """Inner join by both plate parts and ``description LIKE province`` (JOIN8).
 
-    The two equalities are the hash keys; LIKE runs as a residual condition on
-    matching pairs only, never as a nested loop.
+    Each watchlist row has one key by its pattern's class, each transaction the
+    up to three keys it can meet, so a plate with thousands of patterns is not
+    compared with all of them: a pattern without wildcards meets its own value
+    only and needs no LIKE, one with a literal head the values of that head.
+    LIKE runs as a residual condition on what is left, never as a nested loop,
+    and no pair meets by more than one key.
     """
-    wl = maybe_broadcast(watchlist.select(*WATCHLIST_COLUMNS), watchlist_small)
+    wl = watchlist.select(*WATCHLIST_COLUMNS, pattern_key(F.col("province")).alias("_pattern_key")).where("_pattern_key IS NOT NULL")
+    wl = maybe_broadcast(wl, watchlist_small)
+    keyed = df.withColumn("_value_key", F.explode(value_keys(F.col("description"))))
     cond = (
-        (df["vehicle_license_1"] == wl["plate1"])
-        & (df["vehicle_license_2"] == wl["plate2"])
-        & like_column(df["description"], wl["province"])
+        (keyed["vehicle_license_1"] == wl["plate1"])
+        & (keyed["vehicle_license_2"] == wl["plate2"])
+        & (keyed["_value_key"] == wl["_pattern_key"])
+        & (wl["_pattern_key"].startswith("=") | like_column(keyed["description"], wl["province"]))
     )
-    return df.join(wl, cond, "inner").drop("plate1", "plate2", "province")
+    return keyed.join(wl, cond, "inner").drop("plate1", "plate2", "province", "_pattern_key", "_value_key")
 
 
 def first_hit_per_vehicle(df: DataFrame) -> DataFrame:

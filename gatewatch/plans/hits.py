@@ -75,6 +75,7 @@ from gatewatch.operators.transactions import (
     singleton_groups,
 )
 from gatewatch.operators.watchlist import (
+    WATCHLIST_COLUMNS,
     first_hit_per_vehicle,
     watchlist_like_join,
     watchlist_plates,
@@ -98,9 +99,12 @@ CANDIDATE_COLUMNS = (
 
 @dataclass(frozen=True)
 class HitLimits:
-    """Row bounds under which a side is broadcast (measured per run)."""
+    """Bounds under which a side is broadcast (measured per run). Watchlist rows
+    carry text of any length, so they are bounded in bytes as well; candidate
+    ids are of fixed width."""
 
     watchlist_rows: int = 1_000_000
+    watchlist_bytes: int = 256 << 20
     candidate_rows: int = 2_000_000
     checkpoint_candidates: bool = True
 
@@ -114,7 +118,7 @@ class Watchlist:
 def named_watchlist(tables: TollTables, list_name: str, limits: HitLimits = HitLimits()) -> Watchlist:
     """The watchlist rows of one list, with a measured broadcast decision."""
     wl = watchlist_type_filter(tables.watchlist_master, tables.watchlist_type, list_name)
-    _, wl_small = bounded_broadcast(wl, limits.watchlist_rows, "watchlist")
+    _, wl_small = bounded_broadcast(wl.select(*WATCHLIST_COLUMNS), limits.watchlist_rows, "watchlist", limits.watchlist_bytes)
     return Watchlist(wl, wl_small)
 
 
@@ -137,11 +141,6 @@ def hit_candidates(
 CANDIDATE_KEYS = ["transaction_id", "ref_transaction_id"]
 
 
-def measure_candidates(cand: DataFrame, limits: HitLimits) -> dict[str, KeySet]:
-    """Count and key ranges of the (checkpointed) candidates, one job."""
-    return measure_keys(cand, CANDIDATE_KEYS, limits.candidate_rows)
-
-
 def materialize_and_measure(
     df: DataFrame, columns: list[str], limits: HitLimits
 ) -> tuple[DataFrame, dict[str, KeySet]]:
@@ -200,14 +199,6 @@ def candidate_watchlist(cand: DataFrame, cand_small: bool, watchlist: Watchlist)
     return wl.join(plates, cond, "left_semi"), False
 
 
-def materialize(df: DataFrame, enabled: bool = True) -> DataFrame:
-    """Checkpoint to the session's shared checkpoint folder (reliable, not local)."""
-    if not enabled:
-        return df
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 @dataclass(frozen=True)
 class Candidates:
     """Checkpointed candidates of a window, their measured keys, and the

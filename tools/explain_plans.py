@@ -29,8 +29,7 @@ def main() -> None:
     cand = H.hit_candidates(t, w, watchlist)
     print("=== candidate stage ===")
     cand.explain("formatted")
-    ck = H.materialize(cand)
-    keys = H.measure_candidates(ck, limits)
+    ck, keys = H.materialize_and_measure(cand, H.CANDIDATE_KEYS, limits)
     hits = H.enrich_candidates(t, ck, keys, watchlist, True, limits)
     hits.collect()
     print("=== enrichment stage (after execution, AQE final plan) ===")
