@@ -15,8 +15,8 @@ pieces are then stitched in order. A long document is thereby many small pieces.
 
 Counts of id pairs over the corpus are partial sums. They come back to the
 documents in two ways: the pairs that hold more than 1/``HOT`` of all links, of
-which there are less than ``HOT``, by broadcast; the others, none of them
-common, by a shuffle. No pair meets all its documents in one task.
+which there are less than ``HOT``, travel to all tasks; the others, none of them
+common, are joined by a shuffle. No pair meets all its documents in one task.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,13 +37,21 @@ from gatewatch.llm.tables import staged
 
 PIECE = 1 << 15  # merged ends of a piece
 HOT = 200_000
-SLAB = 1 << 20  # characters that are tokenized in one call
+SLAB = 1 << 18  # characters that B tokenizes in one call
+FLUSH = 1 << 20  # links and characters of groups that are held before they are given on
+LONG_WORD = 1000  # characters; texts with longer words go to the tokenizers library
 
-PIECES = "row long, doc_id long, piece int, pieces int, a array<int>, b array<int>, n_a int, n_b int, behind long, b_start long"
 ALIGNED = (
     "row long, doc_id long, piece int, pieces int, n_a int, n_b int, a array<int>, b array<int>, m array<int>, groups_sha256 string, "
     "closed int, head_a string, head_b string, whole string, tail_a string, tail_b string"
 )
+SCORED = "row long, n_best long, count_sum long, a array<int>, b array<int>, m array<int>"
+
+# Characters that every regular expression library sorts alike into blanks,
+# letters, digits and others: ASCII without its separators, and Latin letters.
+_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\u024f]*")
+_LONG = re.compile(f"\\S{{{LONG_WORD},}}|\\s{{{LONG_WORD},}}")
+_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 @dataclass(frozen=True)
@@ -70,20 +79,48 @@ class Pair:
         if not self._ready:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             import sentencepiece
-            from tokenizers import Tokenizer
 
-            a = Tokenizer.from_str(self.a)
-            a.encode_special_tokens = True
             b = sentencepiece.SentencePieceProcessor(model_proto=self.b)
-            self._ready["all"] = (
-                lambda texts: [e.ids for e in a.encode_batch(texts, add_special_tokens=False)],
-                lambda texts: b.encode(texts, num_threads=1),
-                _byte_level(json.loads(self.a)),
-                _pieces(b),
-            )
+            spec = json.loads(self.a)
+            a_bytes = _byte_level(spec)
+            self._ready["all"] = _encoder_a(self.a, spec, a_bytes), lambda texts: b.encode(texts, num_threads=1), a_bytes, _pieces(b)
         return self._ready["all"]
 
 
+def _encoder_a(source: str, spec: dict, a_bytes: list[bytes]):
+    """text -> ids of A. The tokenizers library does any text; tiktoken is some
+    five times as fast and does the same where three things hold, of which the
+    first two are seen from the vocabulary: its i-th merge makes its i-th token
+    that is no byte, so that ranks are ids; each token, tokenized by the merges,
+    is itself, so that joining any neighbours whose bytes are a token, lowest
+    rank first, never leaves the listed merges; and the text has only
+    characters on which the pattern's classes are beyond doubt."""
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_str(source)
+    whole.encode_special_tokens = True
+    special = {t["id"] for t in spec.get("added_tokens", [])}
+    slow = lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, np.int32)
+    before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    plain = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not spec.get("normalizer")
+    vocabulary = model["vocab"]
+    merges = [tuple(x.split(" ")) if isinstance(x, str) else tuple(x) for x in model["merges"]]
+    first = sum(i not in special for i in vocabulary.values()) - len(merges)
+    ordered = first == 256 and all(vocabulary.get(x + y) == first + i for i, (x, y) in enumerate(merges))
+    if not (plain and ordered and all([t.id for t in whole.model.tokenize(token)] == [i] for token, i in vocabulary.items() if i not in special)):
+        return slow
+    ranks = {a_bytes[i]: i for i in vocabulary.values() if i not in special}
+    fast = tiktoken.Encoding("a", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(text: str) -> np.ndarray:
+        if _PLAIN.fullmatch(text) and not _LONG.search(text):
+            return np.array(fast.encode_ordinary(text), np.int32)
+        return slow(text)
+
+    return encode
+
+
 def _byte_level(spec: dict) -> list[bytes]:
     """Bytes of each id. Byte-level vocabularies spell printable Latin-1 bytes
     as themselves and the others, in order, as the characters from 256 on."""
@@ -164,22 +201,25 @@ def align(p: Piece, a_text: np.ndarray, b_text: np.ndarray) -> tuple:
 
     closed = b[both]
     group_a, group_b = np.searchsorted(closed, a), np.searchsorted(closed, b)
-    side = np.concatenate([np.zeros(p.n_a, np.int8), np.ones(p.n_b, np.int8)])
-    group = np.concatenate([group_a, group_b])
-    order = np.lexsort((side, group))
     # The last token of a side in its group takes the closing sign of the side.
     last_a = np.append(group_a[1:] != group_a[:-1], True) if p.n_a else np.zeros(0, bool)
     last_b = np.append(group_b[1:] != group_b[:-1], True) if p.n_b else np.zeros(0, bool)
-    text = np.concatenate([a_text[p.a_ids[: p.n_a] + last_a * (len(a_text) // 2)], b_text[p.b_ids[: p.n_b] + last_b * (len(b_text) // 2)]])[order]
-    group, side = group[order], side[order]
+    # In a group A's tokens come first: each token's place follows from counts.
+    place_a = np.arange(p.n_a) + np.searchsorted(group_b, group_a)
+    place_b = np.arange(p.n_b) + np.searchsorted(group_a, group_b, side="right")
+    text = np.empty(p.n_a + p.n_b, object)
+    text[place_a] = a_text[p.a_ids[: p.n_a] + last_a * (len(a_text) // 2)]
+    text[place_b] = b_text[p.b_ids[: p.n_b] + last_b * (len(b_text) // 2)]
     c = len(closed)
-    lo, hi = np.searchsorted(group, [1, c]) if c else (len(group), len(group))
+    in_a, in_b = np.searchsorted(group_a, [1, c]), np.searchsorted(group_b, [1, c])
+    lo, hi = in_a + in_b if c else (len(text), len(text))
 
-    def open_part(x: slice) -> tuple[str, str]:
-        mid = int(np.searchsorted(side[x], 1))
-        return "".join(text[x][:mid])[:-1], "".join(text[x][mid:])[:-1]
+    def open_part(x: slice, n_a: int) -> tuple[str, str]:
+        part = text[x]
+        return "".join(part[:n_a])[:-1], "".join(part[n_a:])[:-1]
 
-    head, tail = open_part(slice(0, lo)), open_part(slice(hi, None))
+    head = open_part(slice(0, lo), int(in_a[0]) if c else p.n_a)
+    tail = open_part(slice(hi, None), p.n_a - int(in_a[1]) if c else 0)
     whole = "".join(text[lo:hi])[:-1]
     return (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32), m.astype(np.int32), (c, *head, whole, *tail)
 
@@ -214,63 +254,92 @@ def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, types[t]) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
 
 
-def pieces_of(docs: DataFrame, pair: Pair, size: int = PIECE) -> DataFrame:
-    """The pieces of every document (``row``, ``doc_id``, ``text``); a text that has no
-    tokens by the contract gives one empty piece."""
-
-    def pieces(row: tuple, text: str, a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes], lengths) -> Iterator[tuple]:
-        data = (" " + text).encode("utf-8", "surrogatepass")
-        if not text or b"".join([a_bytes[i] for i in a]) != data or b"".join([b_bytes[i] for i in b]) != data:
-            yield *row, 0, 1, [], [], 0, 0, -1, 0
-            return
-        a, b = np.array(a, np.int32), np.array(b, np.int32)
-        found = list(cut(a, b, np.cumsum(lengths[0][a]), np.cumsum(lengths[1][b]), size))
-        at = 0
-        for k, p in enumerate(found):
-            yield *row, k, len(found), p.a_ids, p.b_ids, p.n_a, p.n_b, p.behind, at
-            at = int(p.b_ends[p.n_b - 1]) if p.n_b else at
+def aligned(docs: DataFrame, pair: Pair, size: int = PIECE) -> DataFrame:
+    """Links and groups of the pieces of every document (``row``, ``doc_id``,
+    ``text``), one row per piece. The groups of a document of one piece are
+    digested at once; the others keep their parts for the stitching. A text that
+    has no tokens by the contract gives one empty piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_a, encode_b, a_bytes, b_bytes = pair.ready()
-        lengths = tuple(np.array([len(x) for x in t], np.int64) for t in (a_bytes, b_bytes))
-        for batch in batches:
-            rows, texts, held = [], [], 0
-            for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                rows.append((row, doc_id)), texts.append(text.as_py() or "")
-                held += len(texts[-1])
-                if held >= SLAB:
-                    yield from slab(rows, texts, encode_a, encode_b, a_bytes, b_bytes, lengths)
-                    rows, texts, held = [], [], 0
-            yield from slab(rows, texts, encode_a, encode_b, a_bytes, b_bytes, lengths)
+        a_len, b_len = (np.array([len(x) for x in t], np.int64) for t in (a_bytes, b_bytes))
+        a_text, b_text = _table(a_bytes, "|"), _table(b_bytes, ";")
+        nothing = np.zeros(0, np.int32)
+
+        def pieces(text: str, b: list[int]) -> list[Piece]:
+            data = (" " + text).encode("utf-8", "surrogatepass")
+            if not text or b"".join([b_bytes[i] for i in b]) != data:
+                return []
+            a = encode_a(" " + text)
+            ends = np.cumsum(a_len[a])
+            if ends[-1] != len(data) or b"".join([a_bytes[i] for i in a.tolist()]) != data:
+                return []
+            b = np.array(b, np.int32)
+            return list(cut(a, b, ends, np.cumsum(b_len[b]), size))
+
+        def rows(row: int, doc_id: int, found: list[Piece]) -> Iterator[tuple]:
+            if not found:
+                yield row, doc_id, 0, 1, 0, 0, nothing, nothing, nothing, "", 0, "", "", "", "", ""
+            for k, p in enumerate(found):
+                links_a, links_b, m, groups = align(p, a_text, b_text)
+                sha = ""
+                if len(found) == 1:
+                    sha, groups = sha256_of(stitch([groups])), (groups[0], "", "", "", "", "")
+                yield row, doc_id, k, len(found), p.n_a, p.n_b, links_a, links_b, m, sha, *groups
+
+        for keys, texts in _slabs(batches):
+            out, held = [], 0
+            for key, text, b in zip(keys, texts, encode_b(texts)):
+                for row in rows(*key, pieces(text, b)):
+                    out.append(row)
+                    held += len(row[6]) + len(row[13])
+                    if held >= FLUSH:
+                        yield _rows(out, ALIGNED)
+                        out, held = [], 0
+            yield _rows(out, ALIGNED)
+
+    return docs.select("row", "doc_id", "text").mapInArrow(run, ALIGNED)
 
-    def slab(rows, texts, encode_a, encode_b, a_bytes, b_bytes, lengths) -> Iterator[pa.RecordBatch]:
-        out = []
-        for row, text, a, b in zip(rows, texts, encode_a([" " + t for t in texts]), encode_b(texts)):
-            out.extend(pieces(row, text, a, b, a_bytes, b_bytes, lengths))
-        yield _rows(out, PIECES)
 
-    return docs.select("row", "doc_id", "text").mapInArrow(run, PIECES)
+def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], list[str]]]:
+    """((row, doc_id) and text) of some rows at a time, of about ``SLAB`` characters."""
+    for batch in batches:
+        keys, texts, held = [], [], 0
+        for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            keys.append((row, doc_id)), texts.append(text.as_py() or "")
+            held += len(texts[-1])
+            if held >= SLAB:
+                yield keys, texts
+                keys, texts, held = [], [], 0
+        if keys:
+            yield keys, texts
 
 
-def aligned(pieces: DataFrame, pair: Pair) -> DataFrame:
-    """Links and groups of every piece. The groups of a document of one piece
-    are digested at once; the others keep their parts for the stitching."""
+def _scored(found: DataFrame, common: list[tuple[int, int, int, bool]]) -> DataFrame:
+    """Per piece: the sums over its links that are ``common`` pairs (a, b,
+    count, best of b), and the other links."""
+    table = np.array(common, np.int64).reshape(-1, 4)
+    keys = table[:, 0] << 32 | table[:, 1]
+    order = np.argsort(keys)
+    keys, counts, best = keys[order], table[order, 2], table[order, 3]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, _, a_bytes, b_bytes = pair.ready()
-        a_len, b_len = (np.array([len(x) for x in t], np.int64) for t in (a_bytes, b_bytes))
-        a_text, b_text = _table(a_bytes, "|"), _table(b_bytes, ";")
         for batch in batches:
-            out = []
-            for row, doc_id, k, n, a, b, n_a, n_b, behind, b_start in zip(*[c if pa.types.is_list(c.type) else c.to_pylist() for c in batch.columns]):
-                a, b = a.values.to_numpy(), b.values.to_numpy()
-                p = Piece(a, b, np.cumsum(a_len[a]) + max(behind, 0), np.cumsum(b_len[b]) + b_start, n_a, n_b, behind)
-                links_a, links_b, m, groups = align(p, a_text, b_text)
-                sha, groups = (sha256_of(stitch([groups])), (groups[0], "", "", "", "", "")) if n == 1 else ("", groups)
-                out.append((row, doc_id, k, n, n_a, n_b, links_a, links_b, m, sha, *groups))
-            yield _rows(out, ALIGNED)
-
-    return pieces.mapInArrow(run, ALIGNED)
+            lists = [batch.column(i) for i in (1, 2, 3)]
+            a, b, m = (x.flatten().to_numpy().astype(np.int64) for x in lists)
+            owner = np.repeat(np.arange(len(lists[0])), np.diff(lists[0].offsets.to_numpy()))
+            at = np.minimum(np.searchsorted(keys, key := a << 32 | b), max(len(keys) - 1, 0))
+            hit = keys[at] == key if len(keys) else np.zeros(len(key), bool)
+            sums = []
+            for value in (best, counts):
+                total = np.zeros(len(lists[0]), np.int64)
+                np.add.at(total, owner[hit], m[hit] * value[at[hit]])
+                sums.append(pa.array(total))
+            starts = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner[~hit], minlength=len(lists[0])))]), pa.int32())
+            rest = [pa.ListArray.from_arrays(starts, pa.array(x[~hit], pa.int32())) for x in (a, b, m)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *sums, *rest], names=["row", "n_best", "count_sum", "a", "b", "m"])
+
+    return found.select("row", "a", "b", "m").mapInArrow(run, SCORED)
 
 
 def _stitched(found: DataFrame) -> DataFrame:
@@ -298,23 +367,22 @@ def align_documents(docs: DataFrame, pair: Pair, text: str = "text", key: str =
     """
     d = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
     d = d.withColumn("row", F.monotonically_increasing_id())
-    found = staged(aligned(pieces_of(d, pair, size), pair), "align-pieces")
-    pairs = found.select("row", F.inline(F.arrays_zip("a", "b", "m")))
-
+    found = staged(aligned(d, pair, size), "align-pieces")
+    pairs = found.select(F.inline(F.arrays_zip("a", "b", "m")))
     counts = staged(pairs.groupBy("a", "b").agg(F.sum("m").alias("n")), "align-counts")
     top = counts.groupBy("b").agg(F.max("n").alias("top"))  # at most B's vocabulary
     counts = counts.join(F.broadcast(top), "b").select("a", "b", "n", (F.col("n") == F.col("top")).cast("long").alias("best"))
     total = counts.agg(F.sum("n")).first()[0] or 0
-    common = F.broadcast(counts.where(F.col("n") * hot > total))  # fewer than ``hot``
+    common = counts.where(F.col("n") * hot > total).collect()  # fewer than ``hot``
     rare = counts.where(F.col("n") * hot <= total)
-    score = [F.sum(F.col("m") * F.col("best")).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum")]
-    often = pairs.join(common, ["a", "b"]).groupBy("row").agg(*score)
-    seldom = pairs.join(common, ["a", "b"], "left_anti").join(rare, ["a", "b"]).groupBy("row").agg(*score)
+    scored = staged(_scored(found, [tuple(r) for r in common]), "align-scores")
+    seldom = scored.select("row", F.inline(F.arrays_zip("a", "b", "m"))).join(rare, ["a", "b"])
+    seldom = seldom.groupBy("row").agg(F.sum(F.col("m") * F.col("best")).alias("n_best"), F.sum(F.col("m") * F.col("n")).alias("count_sum"))
 
     zero, none, unnamed = F.lit(0).cast("long"), F.lit(""), F.lit(None).cast("long")
     links = F.aggregate("m", zero, lambda x, y: x + y)
     info = found.select("row", "doc_id", "n_a", "n_b", F.col("closed").alias("n_groups"), links.alias("n_links"), zero.alias("n_best"), zero.alias("count_sum"), "groups_sha256")
-    scores = often.union(seldom).select("row", unnamed, *[zero] * 4, "n_best", "count_sum", none)
+    scores = scored.select("row", "n_best", "count_sum").union(seldom).select("row", unnamed, *[zero] * 4, "n_best", "count_sum", none)
     digests = _stitched(found).select("row", unnamed, *[zero] * 6, "groups_sha256")
     longs = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
     rows = info.union(scores).union(digests).groupBy("row")

@@ -1,14 +1,15 @@
 """Byte-level BPE encoding and decoding by ranks, in Spark higher-order functions.
 
-A word is one match of the tokenizer's pattern. Its bytes start as one piece
-each; a fold joins the neighbours whose joined bytes have the lowest rank, the
-leftmost first, until no neighbours have a rank. The ranks are a literal map:
-fixed buckets by CRC-32, each a short list of (bytes, rank), so a lookup costs
-the same for any vocabulary.
+A word is one match of the tokenizer's pattern. It starts as the array of its
+bytes, each the id of its token; a fold joins the neighbours that make the token
+of the lowest rank, the leftmost first, until no neighbours make a token. The
+ranks are a literal map from pairs of ids to the id of their joined bytes, which
+is its rank: buckets of a few pairs each, so a lookup costs the same for any
+vocabulary.
 
 The words of the whole corpus are counted, and each distinct word that makes up
 at least 1/``SHARE`` of them is folded once; there are at most ``SHARE`` such
-words, in practice some ten thousand, at any corpus size. Their ids form a
+words, in practice some hundred thousand, at any corpus size. Their ids form a
 second literal map, with the words that are a single token. All other words are
 folded where they stand. So every word of every text is encoded by the same
 fold and no word positions are shuffled, only the partial word counts. Which
@@ -36,7 +37,8 @@ from gatewatch.llm.tables import staged
 # The White_Space property, which the pattern's \s means; Java's \s is ASCII only.
 SPACE = r"\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 SHARE = 1 << 21
-BUCKETS = 1 << 16
+BUCKETS = 1 << 15
+PAIRS = 16_381  # buckets of the pair map, a prime
 LONG = 256  # bytes; the fold is quadratic in a word, so longer ones are merged through a heap
 NONE = 2147483647
 
@@ -68,56 +70,69 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def with_map(entries: dict[bytes, object], value_type: str, body: Callable[[Lookup], Column]) -> Column:
-    """``body(lookup)``, where lookup gives a binary column's value in a literal
-    map, or null. The literal stands once in the expression, however often it is
-    looked up: each more would be planned and sent to the tasks again."""
-    keys: list[list[str]] = [[] for _ in range(BUCKETS)]
-    values: list[list] = [[] for _ in range(BUCKETS)]
+def with_words(entries: dict[str, list[int]], body: Callable[[Lookup], Column]) -> Column:
+    """``body(lookup)``, where lookup gives the ids of a word in a literal map,
+    or null. A literal stands once in the expression, however often it is looked
+    up: each more would be planned and sent to the tasks again."""
+    buckets: list[dict[str, list[int]]] = [{} for _ in range(BUCKETS)]
     for k, v in entries.items():
-        at = zlib.crc32(k) % BUCKETS
-        keys[at].append(base64.b64encode(k).decode())
-        values[at].append(v)
-    text = json.dumps({"k": keys, "v": values}, separators=(",", ":"))
-    table = F.from_json(F.lit(text), f"k array<array<binary>>, v array<array<{value_type}>>")
-
-    def lookup(t: Column, x: Column) -> Column:
-        at = (F.crc32(x) % BUCKETS).cast("int")
-        found = lambda i: F.get(F.get(t["v"], i), (F.array_position(F.get(t["k"], i), x) - 1).cast("int"))
-        return let(at, found)
-
-    return let(table, lambda t: body(lambda x: lookup(t, x)))
-
-
-def fold(word: Column, rank: Lookup) -> Column:
-    """Ids of one binary word. The state is the pieces ``p`` and the rank ``r``
-    of each piece joined with the next one."""
+        buckets[zlib.crc32(k.encode()) % BUCKETS][k] = v
+    table = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string, array<int>>>")
+    return let(table, lambda t: body(lambda w: F.try_element_at(F.get(t, (F.crc32(w.cast("binary")) % BUCKETS).cast("int")), w)))
+
+
+def with_ranks(ranks: dict[bytes, int], body: Callable[[Callable[[Column, Column], Column], Column], Column]) -> Column:
+    """``body(rank, byte_ids)``: rank gives the id of the joined bytes of two
+    ids, or ``NONE``; byte_ids is the array of the 256 bytes' ids."""
+    keys: list[list[int]] = [[] for _ in range(PAIRS)]
+    values: list[list[int]] = [[] for _ in range(PAIRS)]
+    for token, i in ranks.items():
+        for k in range(1, len(token)):
+            a, b = ranks.get(token[:k]), ranks.get(token[k:])
+            if a is not None and b is not None:
+                pair = a << 32 | b
+                keys[pair % PAIRS].append(pair)
+                values[pair % PAIRS].append(i)
+    whole = {"k": keys, "v": values, "b": [ranks[bytes([x])] for x in range(256)]}
+    table = F.from_json(F.lit(json.dumps(whole, separators=(",", ":"))), "k array<array<bigint>>, v array<array<int>>, b array<int>")
+
+    def rank(t: Column, a: Column, b: Column) -> Column:
+        pair = a.cast("long") * (1 << 32) + b
+        at = (pair % PAIRS).cast("int")
+        return F.coalesce(F.get(F.get(t["v"], at), (F.array_position(F.get(t["k"], at), pair) - 1).cast("int")), F.lit(NONE))
+
+    return let(table, lambda t: body(lambda a, b: rank(t, a, b), t["b"]))
+
+
+def fold(word: Column, rank: Callable[[Column, Column], Column], byte_ids: Column) -> Column:
+    """Ids of one word. The state is the pieces ``p``, between two marks that
+    join with nothing, and the rank ``r`` of each joined with the next."""
+    # Each byte as one character; a byte's place in the string is its place in the word.
+    latin = F.decode(word.cast("binary"), "ISO-8859-1")
     n = F.octet_length(word)
-    known = lambda x: F.coalesce(rank(x), F.lit(NONE))
-    bytes_ = F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(word, i, F.lit(1)))
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), n - 1), lambda i: known(F.substring(word, i, F.lit(2))))).otherwise(F.array().cast("array<int>"))
-    start = F.struct(bytes_.alias("p"), pairs.alias("r"))
+    ids = let(latin, lambda x: F.transform(F.sequence(F.lit(1), n), lambda i: F.get(byte_ids, F.ascii(F.substring(x, i, F.lit(1))))))
+    mark = F.array(F.lit(0))
 
-    def merged(s: Column, i: Column) -> Column:
-        p, r = s["p"], s["r"]
-        at = lambda j: F.get(p, i + j - 1)
-        no = F.array().cast("array<int>")
+    def start(ids: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(0), n - 2), lambda i: rank(F.get(ids, i), F.get(ids, i + 1)))
+        none = F.array(F.lit(NONE))
+        return F.struct(F.concat(mark, ids, mark).alias("p"), F.concat(none, F.when(n > 1, pairs).otherwise(F.array().cast("array<int>")), none).alias("r"))
 
-        def joined(x: Column) -> Column:
-            pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(x), F.slice(p, i + 2, n))
-            left = F.when(i > 1, F.array(known(F.concat(at(-1), x)))).otherwise(no)
-            right = F.when(i + 2 <= F.size(p), F.array(known(F.concat(x, at(2))))).otherwise(no)
-            ranks = F.concat(F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))), left, right, F.slice(r, i + 2, n))
-            return F.struct(pieces.alias("p"), ranks.alias("r"))
-
-        return let(F.concat(at(0), at(1)), joined)
+    def joined(s: Column, i: Column, m: Column) -> Column:
+        """The pieces i and i + 1 (from 1; the mark is piece 1) become ``m``."""
+        p, r = s["p"], s["r"]
+        left = F.when(i > 2, rank(F.get(p, i - 2), m)).otherwise(F.lit(NONE))
+        right = F.when(i + 2 < F.size(p), rank(m, F.get(p, i + 1))).otherwise(F.lit(NONE))
+        pieces = F.concat(F.slice(p, F.lit(1), i - 1), F.array(m), F.slice(p, i + 2, n))
+        return F.struct(pieces.alias("p"), F.concat(F.slice(r, F.lit(1), i - 2), F.array(left, right), F.slice(r, i + 2, n)).alias("r"))
 
     def step(s: Column, _: Column) -> Column:
-        least = lambda m: F.when(m < NONE, let(F.array_position(s["r"], m).cast("int"), lambda i: merged(s, i))).otherwise(s)
-        return let(F.coalesce(F.array_min(s["r"]), F.lit(NONE)), least)
+        # A null state, once nothing joins any more, is passed on at no cost.
+        least = lambda m: F.when(m < NONE, joined(s, F.array_position(s["r"], m).cast("int"), m)).otherwise(s)
+        return let(F.array_min(s["r"]), least)
 
-    turns = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(turns, start, step, lambda s: F.transform(s["p"], rank))
+    end = let(ids, lambda x: F.aggregate(F.sequence(F.lit(1), n), start(x), step, lambda s: F.slice(s["p"], F.lit(2), F.size(s["p"]) - 2)))
+    return F.when(n > 0, end).otherwise(F.array().cast("array<int>"))
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -152,17 +167,17 @@ def words(text: Column, vocabulary: Vocabulary) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(vocabulary.pattern)), F.lit(0))
 
 
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", share: int = SHARE) -> dict[bytes, list[int]]:
-    """Ids of the distinct words that make up at least 1/``share`` of all words
-    and are no token themselves: at most ``share`` of them."""
+def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", share: int = SHARE) -> dict[str, list[int]]:
+    """Ids of the distinct words that make up at least 1/``share`` of all words:
+    at most ``share`` of them."""
     counts = docs.select(F.explode(words(F.col(f"`{text}`"), vocabulary)).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
     counts = staged(counts.where(F.octet_length("w") <= LONG), "bpe-words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    often = counts.where(F.col("n") * share >= total).select(F.col("w").cast("binary").alias("w"))
+    often = counts.where(F.col("n") * share >= total).select("w")
     spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = with_map(vocabulary.ranks, "int", lambda rank: F.when(rank(F.col("w")).isNull(), fold(F.col("w"), rank)))
-    rows = often.repartition(spread, "w").select("w", ids.alias("ids")).where("ids IS NOT NULL").collect()
-    return {bytes(w): list(ids) for w, ids in rows}
+    ids = with_ranks(vocabulary.ranks, lambda rank, byte_ids: fold(F.col("w"), rank, byte_ids))
+    rows = often.repartition(spread, "w").select("w", ids.alias("ids")).collect()
+    return {w: list(ids) for w, ids in rows}
 
 
 def _merge_long_words(ranks: dict[bytes, int]):
@@ -186,19 +201,27 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     the name ``ids`` is replaced; all others stay. No rows give no rows.
     """
     often = frequent_words(docs, vocabulary, text, share)
-    whole = {**often, **{k: [v] for k, v in vocabulary.ranks.items()}}
+    # A word that is a token is that token; tokens that are no text are no words.
+    single = {k.decode(): [v] for k, v in vocabulary.ranks.items() if _is_text(k)}
     w, w_ids = "__words", "__long_ids"
     d = docs.withColumn(w, words(F.col(f"`{text}`"), vocabulary))
     long = lambda x: F.octet_length(x) > LONG
     only_long = F.when(F.exists(w, long), F.transform(w, lambda x: F.when(long(x), x)))
     d = d.withColumn(w_ids, _merge_long_words(vocabulary.ranks)(only_long))
 
-    def one(x: Column, i: Column, rank: Lookup, known: Lookup) -> Column:
-        return let(x.cast("binary"), lambda b: F.when(long(x), F.get(w_ids, i)).otherwise(F.coalesce(known(b), fold(b, rank))))
+    def each(known: Lookup) -> Column:
+        inside = lambda rank, byte_ids: F.transform(w, lambda x, i: F.when(long(x), F.get(w_ids, i)).otherwise(F.coalesce(known(x), fold(x, rank, byte_ids))))
+        return F.flatten(with_ranks(vocabulary.ranks, inside))
+
+    return d.withColumn(ids, with_words({**often, **single}, each)).drop(w, w_ids)
+
 
-    each = lambda rank, known: F.flatten(F.transform(w, lambda x, i: one(x, i, rank, known)))
-    found = with_map(vocabulary.ranks, "int", lambda rank: with_map(whole, "array<int>", lambda known: each(rank, known)))
-    return d.withColumn(ids, found).drop(w, w_ids)
+def _is_text(token: bytes) -> bool:
+    try:
+        token.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "bytes") -> DataFrame:

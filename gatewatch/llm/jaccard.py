@@ -1,8 +1,9 @@
 """N-gram Jaccard join by grouped prefixes, and the components of its links.
 
 A document's set is its distinct five-word shingles. All shingles have one
-global order: first by a fixed-size count of their hash bucket (rare first),
-then by hash. Two sets of a similarity of at least t share a shingle of their
+global order: first by the count of their hash bucket, one of a fixed number (rare
+first), then by hash. A shingle that a given share of all documents has stands
+out of its bucket the more, the larger the corpus. Two sets of a similarity of at least t share a shingle of their
 prefixes, the first n - ceil(t n) + 1 shingles. Documents of equal prefix and
 size form one group, and only groups are looked up by shingle; group pairs
 pass a size filter and are then expanded to their members and verified on the
@@ -10,7 +11,8 @@ whole sets.
 
 The result needs the components, not all pairs, so similar members of a bucket
 never meet pairwise: each group is first verified against one pivot, of the
-pivots of its buckets the one met most often. Buckets that then still hold far more
+pivots of its buckets the one met most often; the pivot of a bucket is the group
+that meets most others over all its buckets. Buckets that then still hold far more
 pairs of components than members go through further rounds with other pivots,
 as long as those rounds settle many pairs. Only members of a bucket that are then still in different
 components are paired and verified, whatever their number. A link is thereby
@@ -28,10 +30,11 @@ from pyspark.sql import functions as F
 
 from gatewatch.llm.components import components
 from gatewatch.llm.tables import keep_where, sized, staged
-from gatewatch.llm.words import mix, shingle_sets, slabs
+from gatewatch.llm.words import WORD, mix, shingle_sets, slabs
 
 PERCENT = 75
-BUCKETS = 1 << 16  # counters of the shingle order; fixed, whatever the corpus
+BUCKETS = 1 << 22  # counters of the shingle order; fixed, whatever the corpus
+BLOCK = 1 << 16  # counters that travel together
 HOT = 20_000  # members of a shingle's bucket handled together
 TOGETHER = 500  # sets verified against one pivot in a task
 DENSE = 4  # pairs of different components for each bucket place that call for a round
@@ -50,30 +53,42 @@ def _digests(s: np.ndarray) -> tuple[int, int]:
 
 
 def _bucket_counts(docs: DataFrame) -> np.ndarray:
-    """Document count of every hash bucket: ``BUCKETS`` numbers in all."""
+    """Document count of every hash bucket: ``BUCKETS`` numbers in all. Tasks
+    give them on in blocks, which are added up as they stream by."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for _, _, data, offsets in slabs(batch.column(0)):
-                found = list(shingle_sets(data, offsets))
+                found = [s for s in shingle_sets(data, offsets) if len(s)]
                 if found:
-                    total += np.bincount(np.concatenate(found) & np.uint64(BUCKETS - 1), minlength=BUCKETS)
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+                    np.add.at(total, (np.concatenate(found) & np.uint64(BUCKETS - 1)).astype(np.int64), 1)
+        for block, part in enumerate(total.reshape(-1, BLOCK)):
+            if part.any():
+                width = next(w for w in (1, 2, 4, 8) if part.max() < 1 << 8 * w)
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([width]), pa.array([part.astype(f"<u{width}").tobytes()])], names=names)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, width, part in zip(*[c.to_pylist() for c in batch.columns]):
+                total.setdefault(block, np.zeros(BLOCK, np.int64))
+                total[block] += np.frombuffer(part, f"<u{width}")
+        for block, part in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([8]), pa.array([part.astype("<u8").tobytes()])], names=names)
 
-    rows = docs.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    out = np.zeros(BUCKETS, np.int64)
-    for bucket, n in rows.collect():
-        out[bucket] = n
-    return out
+    names, schema = ["block", "width", "counts"], "block long, width long, counts binary"
+    blocks = docs.select("text").mapInArrow(count, schema).repartition(BUCKETS // BLOCK, "block").mapInArrow(add, schema)
+    out = np.zeros((BUCKETS // BLOCK, BLOCK), np.uint32)
+    for block, _, part in blocks.collect():
+        out[block] = np.minimum(np.frombuffer(part, "<u8"), np.iinfo(np.uint32).max)
+    return out.reshape(-1)
 
 
 def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     """One row per document: id, size, set digest (a, b), group and prefix."""
-    order = counts.astype(np.uint64)
     # A shingle whose bucket sticks out may be in very many documents: spread.
-    spread = (1 + np.maximum(0, counts - 2 * int(counts.mean())) // HOT).astype(np.int64)
+    usual = 2 * int(counts.mean())
     schema = "doc_id long, row long, n long, a long, b long, grp long, prefix array<struct<token:long,of:long>>"
     token = [pa.field("token", pa.int64()), pa.field("of", pa.int64())]
 
@@ -86,11 +101,11 @@ def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
                     n = len(s)
                     a, b = _digests(s)
                     p = n - -(-percent * n // 100) + 1 if n else 0
-                    rank = order[s & np.uint64(BUCKETS - 1)]
+                    rank = counts[s & np.uint64(BUCKETS - 1)]
                     head = s[np.lexsort((s, rank))[:p]]
                     group = np.array(_digests(head)[0] * 31 + n & (1 << 64) - 1, np.uint64).view(np.int64)
                     sizes.append(n), firsts.append(a), seconds.append(b), groups.append(int(group))
-                    parts = spread[head & np.uint64(BUCKETS - 1)]
+                    parts = 1 + np.maximum(0, counts[head & np.uint64(BUCKETS - 1)].astype(np.int64) - usual) // HOT
                     piece = (abs(int(group)) % parts).astype(np.uint64)
                     # Piece 0 keeps the shingle's hash, the others get their own.
                     tokens.append(np.where(piece > 0, mix(head + piece * np.uint64(0x9E3779B97F4A7C15)), head).view(np.int64))
@@ -146,17 +161,9 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("pivot", "piece").applyInArrow(run, "u long, v long")
 
 
-def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
-
-    Words are lower-cased in A-Z. ``component_id`` is the smallest id reachable
-    by links, the own one included. Null and blank texts have an empty set and
-    link to nothing; a text of one to four words has its whole sequence as one
-    shingle. Repeated rows and equal texts are one node; rows without an id take
-    part but never name a component (null if no row of it has an id). An empty
-    table gives an empty result; other columns are not looked at.
-    """
-    spark = docs.sparkSession
+def _linked(docs: DataFrame, text: str, key: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (``doc_id, row, n, node``; ``row`` is a hash of id and text) and the
+    nodes with words (``node, least, root``): their least id and component."""
     d = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     d = d.withColumn("row", F.xxhash64("doc_id", "text"))
     rows = staged(_prefixes(d, _bucket_counts(d), percent), "join-rows")
@@ -176,10 +183,17 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
     prefix = prefix.select("grp", "prefix")
     prefix = prefix.dropDuplicates(["grp"]) if _repeated(slim) else prefix
     entries = prefix.select("grp", F.inline("prefix")).repartition("token")
-    pivots = entries.groupBy("token").agg(F.min("grp").alias("p"), F.count("*").alias("m"), F.max("of").alias("o"))
+    sizes = entries.groupBy("token").agg(F.count("*").alias("m"), F.max("of").alias("o"))
     # Buckets of one group are done, unless the shingle is spread over several.
-    shared = entries.join(pivots.where("m > 1 OR o IS NOT NULL").drop("o"), "token").select("token", "of", "grp", "p")
-    shared = staged(shared, "join-shared")
+    shared = entries.join(sizes.where("m > 1 OR o IS NOT NULL").drop("o"), "token").select("token", "of", "grp", "m")
+    shared = staged(shared, "join-met")
+    # The pivot of a bucket is the group that meets most others over all its
+    # buckets: the text that many were copied from, rather than one of the
+    # copies, which may be too far from each other.
+    met = staged(shared.groupBy("grp").agg(F.sum("m").alias("met")), "join-central")
+    ranked = shared.join(sized(met), "grp").select("token", "of", "grp", "met").repartition("token")
+    pivots = ranked.groupBy("token").agg(F.max_by("grp", F.shiftleft("met", 16) + F.pmod("grp", F.lit(1 << 16))).alias("p"))
+    shared = staged(ranked.join(pivots, "token").select("token", "of", "grp", "p"), "join-shared")
 
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     pieces = shared.where("of IS NOT NULL").select("of", "p").distinct()
@@ -264,6 +278,20 @@ def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
 
     whole = nodes.select("node", "least").join(label, nodes["node"] == label["u"], "left")
     whole = staged(whole.select("node", "least", F.coalesce("root", "node").alias("root")), "join-roots")
+    return slim, whole
+
+
+def join_components(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
+
+    Words are lower-cased in A-Z. ``component_id`` is the smallest id reachable
+    by links, the own one included. Null and blank texts have an empty set and
+    link to nothing; a text of one to four words has its whole sequence as one
+    shingle. Repeated rows and equal texts are one node; rows without an id take
+    part but never name a component (null if no row of it has an id). An empty
+    table gives an empty result; other columns are not looked at.
+    """
+    slim, whole = _linked(docs, text, key, percent)
     least = whole.groupBy("root").agg(F.min("least").alias("component_id"))
     named = whole.join(least, "root").select("node", "component_id")
     out = slim.where("n > 0").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -276,13 +304,18 @@ def _repeated(slim: DataFrame) -> bool:
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", percent: int = PERCENT) -> DataFrame:
-    """One row of ``docs`` for each component, the one of the smallest id; all
-    columns unchanged. Rows without an id cannot be named and are kept; of rows
-    that repeat a kept id one stays."""
-    found = staged(join_components(docs, text, key, percent), "join-result")
-    kept = staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("m")).select(F.col("doc_id").alias(key), "m"), "join-kept")
-    out = keep_where(docs.where(F.col(f"`{key}`").isNotNull()), kept.drop("m"), [key])
-    if not kept.where("m > 1").isEmpty():
-        twice = staged(kept.where("m > 1").select(key), "join-twice")
-        out = keep_where(out, twice, [key], "left_anti").union(keep_where(out, twice, [key]).dropDuplicates([key]))
-    return out.union(docs.where(F.col(f"`{key}`").isNull()))
+    """One row of ``docs`` for each component, all columns unchanged: of its
+    rows the one of the smallest id, rows without an id last. Rows are told
+    apart by id and text, whatever rows an id stands on; of rows that repeat
+    both one stays. Texts without words link to nothing: each row stays."""
+    slim, whole = _linked(docs, text, key, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")).alias("first")
+    chosen = slim.where("n > 0").join(whole.select("node", "root"), "node").groupBy("root").agg(first).select(F.col("first.row").alias("__row"))
+    chosen = staged(chosen, "join-kept")
+    t = F.col(f"`{text}`")
+    rows = docs.withColumn("__row", F.xxhash64(F.col(f"`{key}`").cast("long"), t))
+    kept = keep_where(rows, chosen, ["__row"])
+    twice = staged(slim.where("n > 0").groupBy("row").count().where("count > 1").select(F.col("row").alias("__row")), "join-twice")
+    if not twice.isEmpty():
+        kept = keep_where(kept, twice, ["__row"], "left_anti").union(keep_where(kept, twice, ["__row"]).dropDuplicates(["__row"]))
+    return kept.drop("__row").union(docs.where(t.isNull() | ~t.rlike(WORD)))

@@ -8,12 +8,12 @@ which common codes form a family.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +29,7 @@ FAMILIES = {
 DIMS = 2048
 TRAIN_PER_LANGUAGE = 800  # labelled texts per language, a hash sample
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 # Letters keep a code of their own (A-Z like a-z), all else is one separator.
 _CODE = np.zeros(256, np.uint32)

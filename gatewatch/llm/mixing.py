@@ -25,9 +25,10 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def unit_hash(key: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) from the MD5 of the seed and the key (null: '')."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("")))
+def unit_hash(key: Column, digest: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the MD5 of the seed, the key and the text's MD5
+    (null: '')."""
+    text = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("")), F.lit(":"), F.coalesce(digest, F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(_UNIT)
 
 
@@ -66,18 +67,21 @@ def mix_plan(docs: DataFrame, text: str = "text", key: str = "doc_id", source: s
     sums are partial before the exchange, so a hot source costs one row per
     task; its rows meet the small table of targets in a join that is planned
     from run-time sizes (skewed sides are split). Null text has size 0, null
-    sources form a source of their own, equal ids get equal copies, an empty
-    table gives an empty plan; other columns are not looked at.
+    sources form a source of their own; each (id, text) has a draw of its own, so
+    only rows that repeat both share one; an empty table gives an empty plan; other columns are not looked at.
     """
     d = docs.select(
-        F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("source"), size_of(F.col(f"`{text}`")).alias("size")
+        F.col(f"`{key}`").alias("doc_id"),
+        F.col(f"`{source}`").alias("source"),
+        size_of(F.col(f"`{text}`")).alias("size"),
+        F.md5(F.col(f"`{text}`")).alias("digest"),
     )
     d = staged(d, "mix-sizes")
     targets = source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size")))
     t = targets.select(F.col("source").alias("__s"), "source_size", "target")
     j = d.join(t, F.col("source").eqNullSafe(F.col("__s")), "left")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    extra = unit_hash(F.col("doc_id"), seed) < F.col("__rate") - F.floor("__rate")
+    extra = unit_hash(F.col("doc_id"), F.col("digest"), seed) < F.col("__rate") - F.floor("__rate")
     return j.withColumn("__rate", rate).select(
         "doc_id", "source", "size", "source_size", "target", (F.floor("__rate") + extra.cast("long")).cast("long").alias("copies")
     )
@@ -97,7 +101,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     j = docs.select(F.struct("*").alias("__row")).join(
         t, F.col("__row").getField(source).eqNullSafe(F.col("__s")), "inner"
     )
-    extra = unit_hash(F.col("__row").getField(key), seed) < F.col("__rate") - F.floor("__rate")
+    extra = unit_hash(F.col("__row").getField(key), F.md5(F.col("__row").getField(text)), seed) < F.col("__rate") - F.floor("__rate")
     copies = (F.floor("__rate") + extra.cast("long")).cast("int")
     j = j.withColumn("__n", copies).where("__n > 0")
     j = j.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__n"))))

@@ -6,7 +6,7 @@ _W = "[^\\x20\\x09-\\x0D]+"
 
 MIX = f"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_W}')) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, md5(text) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '{_W}')) AS BIGINT) AS size FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
 ), w AS (
@@ -22,7 +22,7 @@ WITH d AS (
   SELECT source, source_size, least(CAST(cap AS DOUBLE), level * weight) AS target FROM w, level
 ), r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-    CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+    CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(d.doc_id AS VARCHAR), '') || ':' || coalesce(digest, '')), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
@@ -37,7 +37,9 @@ _STOP = (
 
 QUALITY = f"""
 WITH t AS (
-  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_W}') AS w FROM documents
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_W}') AS w,
+    2 * len(regexp_extract_all(coalesce(text, ''), '\\p{{Latin}}')) >= len(regexp_extract_all(coalesce(text, ''), '\\p{{L}}'))
+      AND lower(regexp_extract(coalesce(lang, ''), '^[A-Za-z]*')) IN ('', 'und', 'de', 'en', 'es', 'fr') AS covered FROM documents
 ), windows AS (
   SELECT k, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM t)
 ), twice AS (
@@ -49,16 +51,16 @@ WITH t AS (
     CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
     list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_W}')) AS l,
     coalesce(covered.n, 0) AS n_repeat_words,
-    CAST(len(list_filter(w, lambda x: list_contains(string_split('{_STOP}', ' '), lower(x)))) AS BIGINT) AS n_stop_words
+    CAST(len(list_filter(w, lambda x: list_contains(string_split('{_STOP}', ' '), lower(x)))) AS BIGINT) AS n_stop_words, covered
   FROM t LEFT JOIN covered USING (k)
 ), n AS (
   SELECT doc_id, n_words, word_chars, n_symbols, CAST(len(l) AS BIGINT) AS n_lines,
-    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, n_repeat_words, n_stop_words,
+    CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, n_repeat_words, n_stop_words, covered,
     n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
   FROM m
 )
-SELECT *, NOT base_failed AND n_words <= 100000 AND word_chars >= 2 * n_words AND word_chars <= 12 * n_words
-  AND 10 * n_symbols <= n_words AND 100 * n_stop_words >= 2 * n_words AND 100 * n_dup_lines <= 50 * n_lines AS kept
+SELECT * EXCLUDE covered, NOT base_failed AND word_chars >= 2 * n_words AND word_chars <= 12 * n_words
+  AND 10 * n_symbols <= n_words AND (NOT covered OR 100 * n_stop_words >= 2 * n_words) AND 100 * n_dup_lines <= 50 * n_lines AS kept
 FROM n
 """
 

@@ -37,24 +37,17 @@ class Rule:
     hi: float | None = None
 
 
-# Ratios are integer comparisons scaled by 100 or 1000, so both engines agree.
+# Ratios are integer comparisons scaled by 100 or 1000, so both engines agree. No
+# text is too long, and stop words decide only on texts that they cover.
 RULES: tuple[Rule, ...] = (
-    Rule("words", "n_words", lo=50, hi=100_000),
+    Rule("words", "n_words", lo=50),
     Rule("repeated_windows", "100 * n_repeat_words - 50 * n_words", hi=0),
     Rule("mean_word_low", "word_chars - 2 * n_words", lo=0),
     Rule("mean_word_high", "word_chars - 12 * n_words", hi=0),
     Rule("symbols", "10 * n_symbols - n_words", hi=0),
-    Rule("stop_words", "100 * n_stop_words - 2 * n_words", lo=0),
+    Rule("stop_words", "CASE WHEN covered THEN 100 * n_stop_words - 2 * n_words ELSE 0 END", lo=0),
     Rule("duplicate_lines", "100 * n_dup_lines - 50 * n_lines", hi=0),
 )
-# For whole corpora, where no SQL fixes the rules: long texts may stay, and the
-# stop words decide only on texts they cover.
-CORPUS_RULES: tuple[Rule, ...] = tuple(
-    Rule(r.name, r.measure, lo=r.lo) if r.name == "words"
-    else Rule(r.name, f"CASE WHEN covered THEN {r.measure} ELSE 0 END", r.lo, r.hi) if r.name == "stop_words"
-    else r
-    for r in RULES
-)
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_stop_words")
 
 
@@ -130,12 +123,6 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``measures`` plus ``base_failed`` and ``kept`` (never true where the base fails)."""
-    m = measures(docs, text, keep)
-    return m.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & verdict(rules)})
-
-
 def covered(text: Column, lang: Column | None = None) -> Column:
     """Whether the stop words cover a text: half of its letters at least are
     Latin, and its language, where one is given, is listed."""
@@ -147,10 +134,23 @@ def covered(text: Column, lang: Column | None = None) -> Column:
     return latin & code.isin("", "und", *STOP_WORDS)
 
 
-def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", lang: str | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns unchanged, that ``judge`` keeps. Rules
-    may use ``covered``; ``lang`` names a column with the language."""
+def judge(
+    docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", keep: Sequence[str] = ("doc_id",), lang: str | None = None
+) -> DataFrame:
+    """``keep``, then ``n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, base_failed, kept`` (never true where the base fails),
+    ``n_lines`` and ``n_stop_words``. ``lang`` names a column with the language."""
     over = covered(F.col(f"`{text}`"), F.col(f"`{lang}`") if lang else None)
-    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"), over.alias("covered"))
-    good = judge(packed, rules, "text", ("row", "covered")).where("kept")
+    kept = F.struct(*[F.col(f"`{c}`") for c in keep])
+    packed = docs.select(kept.alias("row"), F.col(f"`{text}`").alias("text"), over.alias("covered"))
+    m = measures(packed, "text", ("row", "covered"))
+    m = m.withColumns({"base_failed": base_failed(), "kept": ~base_failed() & verdict(rules)})
+    order = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_stop_words")
+    return m.select(*[F.col("row").getField(c).alias(c) for c in keep], *order)
+
+
+def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", lang: str | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, that ``judge`` keeps."""
+    packed = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"), *([F.col(f"`{lang}`").alias("lang")] if lang else []))
+    good = judge(packed, rules, "text", ("row",), "lang" if lang else None).where("kept")
     return good.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

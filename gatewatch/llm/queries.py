@@ -29,7 +29,7 @@ def op2_source_mix(spark, sf_dir):
 
 
 def op3_quality_rules(spark, sf_dir):
-    return quality.judge(_documents(spark, sf_dir))
+    return quality.judge(_documents(spark, sf_dir), lang="lang")
 
 
 def op4_license_scan(spark, sf_dir):
@@ -45,7 +45,8 @@ def op5_ngram_jaccard(spark, sf_dir):
 
 
 def op6_substring_dedup(spark, sf_dir):
-    return substrings.repeated_spans(_documents(spark, sf_dir)).drop("spans")
+    found = substrings.repeated_spans(_documents(spark, sf_dir))
+    return found.withColumn("has_repeats", F.col("n_removed") > 0)
 
 
 def op7_language_id(spark, sf_dir):

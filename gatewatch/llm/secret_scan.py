@@ -63,11 +63,16 @@ def _has_mix(token: str) -> bool:
 
 
 def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Spans of all tokens that could be secrets and touch no pattern match."""
-    out = []
+    """Spans of all tokens that could be secrets and touch no pattern match; both
+    lists are in order of their starts, so one pass merges them."""
+    out, i, reach = [], 0, -1
     for m in CANDIDATE.finditer(text):
         a, b = m.span()
-        if _has_mix(m.group()) and not any(a < e and s < b for _, s, e in taken):
+        while i < len(taken) and taken[i][1] < b:
+            reach = max(reach, taken[i][2])
+            i += 1
+        # Of all matches that start before b, the one that reaches furthest.
+        if reach <= a and _has_mix(m.group()):
             out.append((a, b))
     return out
 

@@ -159,7 +159,7 @@ class UrlModel:
 
 
 def judge_urls(pages: DataFrame, model: UrlModel, url: str = "url", keep: Sequence[str] = ("page_id",), rules=RULES) -> DataFrame:
-    """``keep`` columns, host, path, rule, p_block and verdict of every row.
+    """``keep`` columns, host, path, rule, verdict and p_block of every row.
 
     A fitting rule decides; else block from a probability of one half. Null
     and malformed URLs have empty host and path and go to the model like any
@@ -169,7 +169,7 @@ def judge_urls(pages: DataFrame, model: UrlModel, url: str = "url", keep: Sequen
     d = model.block_probability(lexical(d))
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
     verdict = F.coalesce(says, F.when(F.col("p_block") >= 0.5, "block").otherwise("allow"))
-    return d.select(*[F.col("__row").getField(c).alias(c) for c in keep], "host", "path", rule.alias("rule"), "p_block", verdict.alias("verdict"))
+    return d.select(*[F.col("__row").getField(c).alias(c) for c in keep], "host", "path", rule.alias("rule"), verdict.alias("verdict"), "p_block")
 
 
 def rule_labels(pages: DataFrame, url: str = "url", rules=RULES) -> DataFrame:

@@ -111,7 +111,8 @@ def test_jaccard_components(spark, docs, none, monkeypatch, hot):
     kept = jaccard.keep_one(docs)
     assert kept.columns == docs.columns
     ids = Counter(r.doc_id for r in kept.collect())
-    assert ids.pop(None) == 2 and set(ids.values()) == {1}
+    # Of the rows without an id, the copy of another row's text goes, the empty one stays.
+    assert ids.pop(None) == 1 and set(ids.values()) == {1}
     assert set(ids) == {d for d, _, c in want if d is not None and d == c}
 
 
