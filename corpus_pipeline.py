@@ -20,7 +20,7 @@ ORACLE_SQL = None
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go; stop words decide only where they
     cover the language."""
-    return quality.keep_good(docs, quality.CORPUS_RULES, lang="lang" if "lang" in docs.columns else None)
+    return quality.keep_good(docs, lang="lang" if "lang" in docs.columns else None)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
