@@ -14,8 +14,10 @@ never meet pairwise: each group is first verified against one pivot, of the
 pivots of its buckets the one met most often; the pivot of a bucket is the group
 that meets most others over all its buckets. Buckets that then still hold far more
 pairs of components than members go through further rounds with other pivots,
-as long as those rounds settle many pairs. Only members of a bucket that are then still in different
-components are paired and verified, whatever their number. A link is thereby
+as long as those rounds settle many pairs. Of the members of a bucket that are then still in different
+components, only those are paired and verified, whatever their number, that can still share enough:
+if two prefixes must have q shingles in common, the bucket must not be among the
+last q - 1 of either, the most common ones. A link is thereby
 either verified or lies within a component already, so none is lost.
 """
 
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewatch.llm.components import components
@@ -161,6 +163,40 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.groupBy("pivot", "piece").applyInArrow(run, "u long, v long")
 
 
+def _bounds(percent: int):
+    """Expressions of two set sizes: whether they can be similar; how many
+    common shingles lie beyond the prefix of one of them at most; how many
+    common ones they need. Sets whose prefixes share m share at most m plus
+    what lies beyond."""
+    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    beyond = lambda x, y: F.ceil(F.greatest(x, y) * percent / 100) - 1
+    needed = lambda x, y: F.ceil((F.col(x) + F.col(y)) * percent / (100 + percent))
+    return fits, beyond, needed
+
+
+def _placed(slots: DataFrame) -> DataFrame:
+    """``slots`` with ``tail``: the weight of a node's places from this one on,
+    in one order of all places, those in few nodes first."""
+    places = slots.repartition("token")
+    places = places.join(places.groupBy("token").agg(F.count("*").alias("crowd")), "token")
+    whole = Window.partitionBy("node")
+    so_far = whole.orderBy("crowd", "token").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    tail = F.sum("w").over(whole) - F.sum("w").over(so_far) + F.col("w")
+    return staged(places.withColumn("tail", tail).select("token", "node", "n", "comp", "tail"), "join-placed")
+
+
+def _meetings(placed: DataFrame, percent: int) -> DataFrame:
+    """(token, pivot, other, ..) of the nodes of different components that meet
+    in a place and can be similar. Nodes that need q common places have one,
+    their first, with a tail of at least q in both: later ones need not meet."""
+    fits, beyond, needed = _bounds(percent)
+    x = placed.select("token", F.col("node").alias("pivot"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.col("tail").alias("xt"))
+    y = placed.select("token", F.col("node").alias("other"), F.col("n").alias("yn"), F.col("comp").alias("yc"), F.col("tail").alias("yt"))
+    ahead = (F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("pivot") < F.col("other")))
+    reach = F.least("xt", "yt") + beyond("xn", "yn") >= needed("xn", "yn")
+    return x.join(y, "token").where((F.col("xc") != F.col("yc")) & ahead & fits("xn", "yn") & reach)
+
+
 def _linked(docs: DataFrame, text: str, key: str, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows (``doc_id, row, n, node``; ``row`` is a hash of id and text) and the
     nodes with words (``node, least, root``): their least id and component."""
@@ -195,17 +231,14 @@ def _linked(docs: DataFrame, text: str, key: str, percent: int) -> tuple[DataFra
     pivots = ranked.groupBy("token").agg(F.max_by("grp", F.shiftleft("met", 16) + F.pmod("grp", F.lit(1 << 16))).alias("p"))
     shared = staged(ranked.join(pivots, "token").select("token", "of", "grp", "p"), "join-shared")
 
-    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    fits, beyond, needed = _bounds(percent)
     pieces = shared.where("of IS NOT NULL").select("of", "p").distinct()
     whole = pieces.groupBy("of").agg(F.min("p").alias("g")).join(pieces, "of").select("g", F.col("p").alias("h"))
     star = shared.select(F.col("p").alias("g"), F.col("grp").alias("h")).union(whole).where("g != h")
     star = star.groupBy("g", "h").agg(F.count("*").alias("m"))
     known = lambda side: groups.select(F.col("grp").alias(side), F.col("head").alias(f"{side}_head"), F.col("n").alias(f"{side}_n"))
-    # Of two prefixes that share m shingles, the sets share at most m plus what
-    # lies beyond the prefix of one of them. Here and in the rounds m may be too
-    # low, which only leaves a pair to a later step.
-    beyond = lambda x, y: F.ceil(F.greatest(x, y) * percent / 100) - 1
-    needed = lambda x, y: F.ceil((F.col(x) + F.col(y)) * percent / (100 + percent))
+    # m may be too low here and in the rounds, which only leaves a pair to a
+    # later step.
     enough = lambda x, y: F.col("m") + beyond(x, y) >= needed(x, y)
     star = star.join(known("g"), "g").join(known("h"), "h").where(fits("g_n", "h_n") & enough("g_n", "h_n"))
     pairs = star.groupBy("h").agg(F.max_by(F.struct(F.col("g_head").alias("pivot"), F.col("h_head").alias("other")), F.struct("m", "g")).alias("best")).select("best.*")
@@ -262,12 +295,7 @@ def _linked(docs: DataFrame, text: str, key: str, percent: int) -> tuple[DataFra
         still = slots.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
         slots = keep_where(slots, staged(still, f"join-still-{turn}"), ["token"])
 
-    # All pairs of what is left.
-    x, y = slots.select("token", F.col("node").alias("pivot"), F.col("n").alias("xn"), F.col("comp").alias("xc"), "w"), slots.select("token", F.col("node").alias("other"), F.col("n").alias("yn"), F.col("comp").alias("yc"))
-    ahead = (F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("pivot") < F.col("other")))
-    rest = x.join(y, "token").where((F.col("xc") != F.col("yc")) & ahead & fits("xn", "yn"))
-    rest = rest.groupBy("pivot", "other", "xn", "yn").agg(F.sum("w").alias("m")).where(enough("xn", "yn"))
-    rest = rest.select("pivot", "other")
+    rest = _meetings(_placed(slots), percent).select("pivot", "other").distinct()
     for done in tested:
         rest = rest.join(done, ["pivot", "other"], "left_anti").join(done.select(F.col("pivot").alias("other"), F.col("other").alias("pivot")), ["pivot", "other"], "left_anti")
     rest = staged(rest, "join-rest")

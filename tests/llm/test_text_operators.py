@@ -137,6 +137,29 @@ def test_jaccard_equal_prefixes_and_rounds(spark, monkeypatch, dense):
     assert Counter(tuple(x) for x in jaccard.join_components(d).collect()) == _classes(rows)
 
 
+def test_jaccard_meetings_lose_no_pair_and_skip_late_places(spark):
+    """60 nodes in 4 common places, with places of their own and of a few: only
+    those that can share enough meet."""
+    r = random.Random(4)
+    rows, places = [], {}
+    for node in range(60):
+        n = r.randrange(36, 44)
+        places[node] = n, {*range(4), *r.sample(range(100, 112), 3), *(1000 + 20 * node + k for k in range(3))}
+        places[node][1].update(range(5000 + node // 4 * 10, 5000 + node // 4 * 10 + r.randrange(8)))
+        rows += [(t, node, n, node, 1) for t in places[node][1]]
+    slots = spark.createDataFrame(rows, "token long, node long, n long, comp long, w long")
+    met = [(x.pivot, x.other) for x in jaccard._meetings(jaccard._placed(slots), 75).collect()]
+    want, raw = set(), 0
+    for a, (an, at) in places.items():
+        for b, (bn, bt) in places.items():
+            if (an, a) < (bn, b) and 100 * an >= 75 * bn:
+                raw += len(at & bt)
+                if len(at & bt) >= -(-75 * (an + bn) // 175) - -(-75 * bn // 100) + 1:
+                    want.add((a, b))
+    assert want and want <= set(met)
+    assert len(met) < raw / 3
+
+
 def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("x", "x"), ("b", "a")], "u string, v string")
     got = {r.u: r.root for r in components.components(e).collect()}
