@@ -23,6 +23,7 @@ either verified or lies within a component already, so none is lost.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,9 +55,10 @@ def _digests(s: np.ndarray) -> tuple[int, int]:
     return int(pair[0]), int(pair[1])
 
 
-def _bucket_counts(docs: DataFrame) -> np.ndarray:
+def _bucket_counts(docs: DataFrame) -> dict[int, bytes]:
     """Document count of every hash bucket: ``BUCKETS`` numbers in all. Tasks
-    give them on in blocks, which are added up as they stream by."""
+    give them on in blocks, which are added up as they stream by. The driver
+    only passes the sums on, deflated; a block without documents is left out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
@@ -77,24 +79,31 @@ def _bucket_counts(docs: DataFrame) -> np.ndarray:
                 total.setdefault(block, np.zeros(BLOCK, np.int64))
                 total[block] += np.frombuffer(part, f"<u{width}")
         for block, part in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([8]), pa.array([part.astype("<u8").tobytes()])], names=names)
+            part = np.minimum(part, np.iinfo(np.uint32).max).astype("<u4").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([4]), pa.array([zlib.compress(part, 1)])], names=names)
 
     names, schema = ["block", "width", "counts"], "block long, width long, counts binary"
     blocks = docs.select("text").mapInArrow(count, schema).repartition(BUCKETS // BLOCK, "block").mapInArrow(add, schema)
+    return {block: bytes(part) for block, _, part in blocks.collect()}
+
+
+def _inflated(blocks: dict[int, bytes]) -> np.ndarray:
+    """The counts of ``_bucket_counts``."""
     out = np.zeros((BUCKETS // BLOCK, BLOCK), np.uint32)
-    for block, _, part in blocks.collect():
-        out[block] = np.minimum(np.frombuffer(part, "<u8"), np.iinfo(np.uint32).max)
+    for block, part in blocks.items():
+        out[block] = np.frombuffer(zlib.decompress(part), "<u4")
     return out.reshape(-1)
 
 
-def _prefixes(docs: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, blocks: dict[int, bytes], percent: int) -> DataFrame:
     """One row per document: id, size, set digest (a, b), group and prefix."""
-    # A shingle whose bucket sticks out may be in very many documents: spread.
-    usual = 2 * int(counts.mean())
     schema = "doc_id long, row long, n long, a long, b long, grp long, prefix array<struct<token:long,of:long>>"
     token = [pa.field("token", pa.int64()), pa.field("of", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _inflated(blocks)
+        # A shingle whose bucket sticks out may be in very many documents: spread.
+        usual = 2 * int(counts.mean())
         for batch in batches:
             ids, keys = batch.column("doc_id"), batch.column("row")
             for lo, hi, data, offsets in slabs(batch.column("text")):

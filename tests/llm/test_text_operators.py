@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -14,7 +15,9 @@ from oracle_compare import compare
 
 from gatewatch.llm import components, decontaminate, jaccard, language, licenses, mixing, quality, secret_scan, substrings, suffixes, toxicity, urls
 from gatewatch.llm.oracle import ORACLE
+from gatewatch.llm.words import UPPER, WORD
 
+LOWER = str.maketrans(UPPER, UPPER.lower())
 TYPES = "doc_id long, text string, lang string, source string, n_words long, row string, node string, copies long"
 
 
@@ -160,6 +163,17 @@ def test_jaccard_meetings_lose_no_pair_and_skip_late_places(spark):
     assert len(met) < raw / 3
 
 
+def test_jaccard_counts_pass_the_driver_deflated(spark, docs):
+    blocks = jaccard._bucket_counts(docs)
+    assert sum(map(len, blocks.values())) < jaccard.BUCKETS // 8
+    want = Counter()
+    for (text,) in docs.select("text").collect():
+        words = re.findall(WORD, text or "")
+        want["shingles"] += len({tuple(w) for w in zip(*[[x.translate(LOWER) for x in words][k:] for k in range(5)])}) if len(words) >= 5 else bool(words)
+    counts = jaccard._inflated(blocks)
+    assert counts.sum() == want["shingles"] and counts.dtype == np.uint32 and len(counts) == jaccard.BUCKETS
+
+
 def test_components_of_a_chain(spark):
     e = spark.createDataFrame([(f"{i:03d}", f"{i + 1:03d}") for i in range(60)] + [("x", "x"), ("b", "a")], "u string, v string")
     got = {r.u: r.root for r in components.components(e).collect()}
