@@ -1,4 +1,4 @@
-"""Byte-level BPE encoding and decoding by ranks, in Spark higher-order functions.
+"""Byte-level BPE encoding and decoding by ranks, in Spark functions and small Arrow steps.
 
 A word is one match of the tokenizer's pattern. It starts as the array of its
 bytes, each the id of its token; a fold joins the neighbours that make the token
@@ -9,11 +9,12 @@ vocabulary.
 
 The words of the whole corpus are counted, and each distinct word that makes up
 at least 1/``SHARE`` of them is folded once; there are at most ``SHARE`` such
-words, in practice some hundred thousand, at any corpus size. Their ids form a
-second literal map, with the words that are a single token. All other words are
-folded where they stand. So every word of every text is encoded by the same
-fold and no word positions are shuffled, only the partial word counts. Which
-words are in the second map changes the cost, never a result.
+words, in practice some hundred thousand, at any corpus size. Their ids go to
+all tasks. A task codes the words of a batch as a dictionary, so each distinct
+word is looked up once in a batch, and one that is neither among the frequent
+words nor a token is merged once in a task, by the same rule. No word positions
+are shuffled, only the partial word counts. Which words are frequent changes
+the cost, never a result.
 
 Decoding looks up the bytes of each id and joins the pieces, spelled in hex,
 since Spark joins arrays of strings but not of binaries.
@@ -24,10 +25,10 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,13 +38,11 @@ from gatewatch.llm.tables import staged
 # The White_Space property, which the pattern's \s means; Java's \s is ASCII only.
 SPACE = r"\x{9}-\x{D}\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 SHARE = 1 << 21
-BUCKETS = 1 << 15
 PAIRS = 16_381  # buckets of the pair map, a prime
-LONG = 256  # bytes; the fold is quadratic in a word, so longer ones are merged through a heap
+LONG = 256  # bytes; the fold is quadratic in a word, so longer ones are left to the tasks' heap
+KEPT = 1 << 18  # merged words that a task remembers
 NONE = 2147483647
 
-Lookup = Callable[[Column], Column]
-
 
 def java_pattern(pattern: str) -> str:
     """The pattern in Java's notation: \\s and \\S by the White_Space property."""
@@ -70,17 +69,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def with_words(entries: dict[str, list[int]], body: Callable[[Lookup], Column]) -> Column:
-    """``body(lookup)``, where lookup gives the ids of a word in a literal map,
-    or null. A literal stands once in the expression, however often it is looked
-    up: each more would be planned and sent to the tasks again."""
-    buckets: list[dict[str, list[int]]] = [{} for _ in range(BUCKETS)]
-    for k, v in entries.items():
-        buckets[zlib.crc32(k.encode()) % BUCKETS][k] = v
-    table = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string, array<int>>>")
-    return let(table, lambda t: body(lambda w: F.try_element_at(F.get(t, (F.crc32(w.cast("binary")) % BUCKETS).cast("int")), w)))
-
-
 def with_ranks(ranks: dict[bytes, int], body: Callable[[Callable[[Column, Column], Column], Column], Column]) -> Column:
     """``body(rank, byte_ids)``: rank gives the id of the joined bytes of two
     ids, or ``NONE``; byte_ids is the array of the 256 bytes' ids."""
@@ -180,17 +168,32 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
     return {w: list(ids) for w, ids in rows}
 
 
-def _merge_long_words(ranks: dict[bytes, int]):
-    """Arrow function: for each word that is not null, its ids."""
+def _encode_words(ranks: dict[bytes, int], often: dict[str, list[int]]):
+    """Arrow function: the ids of each array of words, one after the other."""
+    merged: dict[str, list[int]] = {}
+
+    def find(word: str) -> list[int]:
+        found = often.get(word) or merged.get(word)
+        if found is None:
+            raw = word.encode()
+            # A word that is a token is that token.
+            found = [ranks[raw]] if raw in ranks else merge_long(raw, ranks)
+            if len(raw) <= LONG:
+                if len(merged) >= KEPT:
+                    merged.clear()
+                merged[word] = found
+        return found
 
     def run(column: pa.Array) -> pa.Array:
-        out = []
-        for value in column:
-            found = value.as_py()
-            out.append(None if found is None else [None if w is None else merge_long(w.encode(), ranks) for w in found])
-        return pa.array(out, pa.list_(pa.list_(pa.int32())))
+        coded = column.flatten().dictionary_encode()
+        distinct = pa.array([find(w) for w in coded.dictionary.to_pylist()], pa.list_(pa.int32()))
+        each = distinct.take(coded.indices)
+        # Where the words of each text start, in words and then in ids.
+        at = np.cumsum([0, *column.value_lengths().to_pylist()])
+        starts = np.cumsum(np.concatenate([[0], each.value_lengths().to_numpy(zero_copy_only=False)]))[at]
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), each.flatten())
 
-    return F.arrow_udf(run, "array<array<int>>")
+    return F.arrow_udf(run, "array<int>")
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", share: int = SHARE) -> DataFrame:
@@ -201,27 +204,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str
     the name ``ids`` is replaced; all others stay. No rows give no rows.
     """
     often = frequent_words(docs, vocabulary, text, share)
-    # A word that is a token is that token; tokens that are no text are no words.
-    single = {k.decode(): [v] for k, v in vocabulary.ranks.items() if _is_text(k)}
-    w, w_ids = "__words", "__long_ids"
-    d = docs.withColumn(w, words(F.col(f"`{text}`"), vocabulary))
-    long = lambda x: F.octet_length(x) > LONG
-    only_long = F.when(F.exists(w, long), F.transform(w, lambda x: F.when(long(x), x)))
-    d = d.withColumn(w_ids, _merge_long_words(vocabulary.ranks)(only_long))
-
-    def each(known: Lookup) -> Column:
-        inside = lambda rank, byte_ids: F.transform(w, lambda x, i: F.when(long(x), F.get(w_ids, i)).otherwise(F.coalesce(known(x), fold(x, rank, byte_ids))))
-        return F.flatten(with_ranks(vocabulary.ranks, inside))
-
-    return d.withColumn(ids, with_words({**often, **single}, each)).drop(w, w_ids)
-
-
-def _is_text(token: bytes) -> bool:
-    try:
-        token.decode()
-    except UnicodeDecodeError:
-        return False
-    return True
+    return docs.withColumn(ids, _encode_words(vocabulary.ranks, often)(words(F.col(f"`{text}`"), vocabulary)))
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "bytes") -> DataFrame:

@@ -45,6 +45,16 @@ def test_ids_equal_tiktoken_and_decode_to_the_text(spark, vocabulary, reference,
         assert (row.w, row.n) == ("w", 1)
 
 
+def test_rare_words_are_merged_once_in_a_task_and_not_folded_in_place(spark, vocabulary, reference):
+    rare = random.Random(6)
+    texts = [" ".join("".join(rare.choice("éabcdefgh'1 ") for _ in range(rare.randrange(1, 12))) for _ in range(300)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
+    out = byte_bpe.encode(docs, vocabulary, share=1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan
+    assert all(x.ids == reference.encode_ordinary(x.text) for x in out.collect())
+
+
 def test_long_words_by_heap(vocabulary, reference):
     for text in ("a" * 5000, "".join(r.choice("ab") for _ in range(3000)), "é" * 999, "".join(chr(r.randrange(97, 123)) for _ in range(4000))):
         assert byte_bpe.merge_long(text.encode(), vocabulary.ranks) == reference.encode_ordinary(text)
